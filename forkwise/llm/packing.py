@@ -134,7 +134,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     columns = [c for c in pieces.columns if c not in ("k", "shard")] + ["sequence_id", "offset"]
     filled = filled.select(*columns)
-    rest = rest.groupBy(F.lit(0)).applyInPandas(fitted, filled.schema)
+    rest = rest.withColumn("together", F.lit(0)).groupBy("together").applyInPandas(fitted, filled.schema)
     return filled.unionByName(rest)
 
 

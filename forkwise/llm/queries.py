@@ -118,10 +118,11 @@ ORACLES = {
     "op6_ngram_llr_rules": rf"""
         WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
         f AS (SELECT doc_id, text, ws, len(ws) AS n, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM w),
-        win AS (SELECT doc_id, i, array_to_string(ws[i:i+4], ' ') AS g FROM f, unnest(range(1, n - 3)) AS t(i) WHERE n >= 5),
-        dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+        u AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM f),
+        l AS (SELECT doc_id, i, x, lead(x, 1) OVER d AS x1, lead(x, 2) OVER d AS x2, lead(x, 3) OVER d AS x3, lead(x, 4) OVER d AS x4 FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x, x1, x2, x3, x4) AS c FROM l WHERE x4 IS NOT NULL) WHERE c > 1),
         rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM dup) GROUP BY doc_id),
-        h AS (SELECT doc_id, i, ('0x' || substr(md5(ws[i]), 1, 8))::BIGINT AS h FROM f, unnest(range(1, n + 1)) AS t(i)),
+        h AS (SELECT doc_id, i, ('0x' || substr(md5(x), 1, 8))::BIGINT AS h FROM u),
         nx AS (SELECT doc_id, h, lead(h) OVER (PARTITION BY doc_id ORDER BY i) AS h2 FROM h),
         g AS (SELECT doc_id, h % {quality_rules.BUCKETS} AS b FROM nx UNION ALL SELECT doc_id, (h * 31 + h2 + 7) % {quality_rules.BUCKETS} FROM nx WHERE h2 IS NOT NULL),
         good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
@@ -138,7 +139,9 @@ ORACLES = {
           NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND s >= {quality_rules.THRESHOLD} * m AS kept FROM a""",
     "op9_jaccard_components": r"""
         WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(4, len(ws)) - 1], ' ') AS g FROM w, unnest(range(1, greatest(2, len(ws) - 2))) AS t(i) WHERE len(ws) > 0),
+        u AS (SELECT doc_id, len(ws) AS m, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+        v AS (SELECT doc_id, m, i, concat_ws(' ', x, lead(x, 1) OVER d, lead(x, 2) OVER d, lead(x, 3) OVER d) AS g FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        s AS (SELECT DISTINCT doc_id, g FROM v WHERE i <= greatest(1, m - 3)),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
         l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),

@@ -93,7 +93,7 @@ def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
                     fs, root = FileSystem.from_uri(folder)
                     fs.create_dir(root, recursive=True)
                     name = f"part-{uuid.uuid4().hex}.warc.gz"
-                    out, path = fs.open_output_stream(f"{root}/{name}"), f"{folder}/{name}"
+                    out, path = fs.open_output_stream(f"{root}/{name}", compression=None), f"{folder}/{name}"
                 if row["chunk_no"] == 0:
                     gz = zlib.compressobj(4, zlib.DEFLATED, 31)
                     out.write(gz.compress(_head(row)))
