@@ -17,6 +17,7 @@ repeated or null ids each get their own row. Other columns of the input are igno
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ THRESHOLD = -round(0.10 * SCALE)
 BROADCAST_IDS = 2_000_000
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is worked out once for the row, not again for each element that refers to it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
 
@@ -55,11 +61,10 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKE
     rows = rows.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words_of(F.col("text")).alias("words"))
     rows = rows.filter(F.size("words") > 0).select("trusted", word_hashes(F.col("words")).alias("h"))
 
-    def both(i: Column) -> Column:
-        one, two = bucket_at(F.col("h"), i, buckets)
-        return F.array(one, two)
+    def all_of(h: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.array(*bucket_at(h, i, buckets))))
 
-    grams = rows.select("trusted", F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.size("h") - 1), both))).alias("bucket"))
+    grams = rows.select("trusted", F.explode(let(F.col("h"), all_of)).alias("bucket"))
     counts = grams.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good")).collect()
     raw, good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)
     weights = [0] * buckets
@@ -83,8 +88,7 @@ def repeat_words(win: Column) -> Column:
         return F.aggregate(at, start, lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(5), p - acc["last"])).alias("n")), lambda acc: acc["n"])
 
     pairs = F.sort_array(F.transform(win, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
-    bound = F.get(F.transform(F.array(pairs), covered), F.lit(0))
-    return F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(bound)
+    return F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(let(pairs, covered))
 
 
 def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOLD) -> DataFrame:
@@ -98,25 +102,33 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), words_of(F.col("text")).alias("words"))
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+
+    def windows(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.slice(w, i, 5)))
+        return F.when(F.size(w) >= 5, each).otherwise(F.array().cast("array<bigint>"))
+
     rows = rows.select(
         "doc_id",
         F.size("words").alias("n_words"),
         F.char_length(F.array_join("words", "")).alias("word_chars"),
         (F.char_length("text") - F.char_length(F.regexp_replace("text", SYMBOLS, ""))).alias("n_symbols"),
         lines.alias("lines"),
-        F.when(F.size("words") >= 5, F.transform(F.sequence(F.lit(1), F.size("words") - 4), lambda i: F.xxhash64(F.slice("words", i, 5)))).otherwise(F.array().cast("array<bigint>")).alias("win"),
+        let(F.col("words"), windows).alias("win"),
         word_hashes(F.col("words")).alias("h"),
     )
 
-    def add(acc: Column, i: Column) -> Column:
-        one, two = bucket_at(F.col("h"), i, buckets)
-        return acc + F.get(table, one.cast("int")) + F.coalesce(F.get(table, two.cast("int")), F.lit(0))
+    def total(h: Column) -> Column:
+        def add(acc: Column, i: Column) -> Column:
+            one, two = bucket_at(h, i, buckets)
+            return acc + F.get(table, one.cast("int")) + F.coalesce(F.get(table, two.cast("int")), F.lit(0))
+
+        return F.when(F.size(h) > 0, F.aggregate(F.sequence(F.lit(0), F.size(h) - 1), F.lit(0).cast("bigint"), add)).otherwise(F.lit(0))
 
-    score = F.when(F.size("h") > 0, F.aggregate(F.sequence(F.lit(0), F.size("h") - 1), F.lit(0).cast("bigint"), add)).otherwise(F.lit(0))
+    score = let(F.col("h"), total)
     rows = rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        repeat_words(F.col("win")).alias("n_repeat_words"),
+        let(F.col("win"), repeat_words).alias("n_repeat_words"),
         F.greatest(F.lit(0), 2 * F.size("h") - 1).cast("bigint").alias("n_grams"),
         score.alias("llr_scaled"),
     )
