@@ -39,6 +39,13 @@ def text_bytes(column: str = "text"):
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")
 
 
+def slices(batches, rows: int = 512):
+    """Batches cut into parts of at most ``rows`` rows, so that what a task makes of one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """True if ``df`` has at most ``max_rows`` rows; looks at no more than it must."""
     return df.limit(max_rows + 1).count() <= max_rows

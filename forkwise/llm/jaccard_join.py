@@ -6,12 +6,15 @@ percent. Following DivideSkip, a document's inverted lists are divided: the long
 (shingles found in many documents) are skipped and only the others, plus as many of the
 long as make up the number needed, are merged. A pair that is to reach T must occur in at
 least T - L merged lists, L being the number skipped; such pairs are confirmed by binary
-probes of the whole sorted sets.
+probes of the whole sorted sets. Before that, parity masks of the sets rule out pairs that
+differ in too many members.
 
-Groups of many similar documents would pair quadratically, so the merge runs twice. First
-each list's documents meet only its two pivots; confirmed links give components. Then all
-pairs of a list whose documents lie in different components are merged and confirmed. Two
-documents already known to be connected need no further link, so no connection is lost.
+Groups of many similar documents would pair quadratically, so most of a group is connected
+before pairs are merged. In a few rounds each list's documents meet a pivot of like size, and
+every document is tried with the pivots that it meets most; confirmed links give components.
+Then all pairs of a list whose documents lie in different components are merged and
+confirmed. Two documents already known to be connected need no further link, so no
+connection is lost, whatever the rounds have found.
 
 Documents with equal sets are one node throughout. Shingles and sets are identified by
 64-bit hashes.
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, small_enough, text_bytes, written
+from .common import components, slices, small_enough, text_bytes, written
 
 #: A shingle in more documents than this is a long list.
 LONG_LIST = 32
@@ -43,6 +46,11 @@ MAX_LONG_LISTS = 500_000
 #: Ids up to this many are broadcast when texts are looked up again (about 16 MB).
 BROADCAST_IDS = 1_000_000
 
+MEMBER = ("sid", "n", "m1", "m2")
+#: Rounds of pivots (those with most copies and links so far), and pivots that a document is tried with in each. More rounds cost a shuffle of the lists and hardly find more.
+ROUNDS = 1
+TRIED = 3
+
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,6 +73,24 @@ def prefix_length(n: int, t: int) -> int:
     return n - -(-t * n // 100) + 1
 
 
+def parity_masks(s: np.ndarray) -> np.ndarray:
+    """Two 64-bit words: for each of 128 residues, whether an odd number of the set's hashes have it."""
+    odd = np.bincount((s & np.uint64(127)).astype(np.int64), minlength=128) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(x: str, y: str, t: int) -> Column:
+    """False only if the sets in columns with these prefixes differ too much: the masks of two sets differ in no more bits than the sets in members."""
+    apart = F.bit_count(F.col(x + "m1").bitwiseXOR(F.col(y + "m1"))) + F.bit_count(F.col(x + "m2").bitwiseXOR(F.col(y + "m2")))
+    a, b = F.col(x + "n"), F.col(y + "n")
+    return (apart <= a + b - 2 * _needed(a, b, t)) & (F.least(a, b) * 100 >= F.greatest(a, b) * t)
+
+
+def _named(rows: DataFrame, prefix: str, *more: str) -> DataFrame:
+    """The columns of list members, and ``more``, with a prefix; ``h`` keeps its name."""
+    return rows.select("h", *(F.col(c).alias(prefix + c) for c in (*MEMBER, *more)))
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
     flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
@@ -79,7 +105,7 @@ def long_lists(docs: DataFrame, k: int, t: int, bound: int = LONG_LIST) -> np.nd
     """Hashes of shingles in more than ``bound`` documents, among twice as many of each document's least hashes as are merged."""
 
     def zone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sets = [shingle_set(x, k) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([_lists([s[: 2 * prefix_length(len(s), t)] if len(s) else s for s in sets])], ["h"])
 
@@ -93,10 +119,10 @@ def long_lists(docs: DataFrame, k: int, t: int, bound: int = LONG_LIST) -> np.nd
 
 
 def _postings(docs: DataFrame, k: int, t: int, skipped: np.ndarray) -> DataFrame:
-    """A row for each row of docs: doc_id, set id, set size and the hashes of the lists it merges."""
+    """A row for each row of docs: doc_id, set id, set size, parity masks and the hashes of the lists it merges."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sets = [shingle_set(x, k) for x in b.column(1).to_pylist()]
             merged = []
             for s in sets:
@@ -104,9 +130,10 @@ def _postings(docs: DataFrame, k: int, t: int, skipped: np.ndarray) -> DataFrame
                     at = np.minimum(np.searchsorted(skipped, s), len(skipped) - 1)
                     s = s[np.argsort(skipped[at] == s, kind="stable")]
                 merged.append(s[: prefix_length(len(s), t)] if len(s) else s)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(_set_id, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), _lists(merged)], ["doc_id", "sid", "n", "h"])
+            masks = np.array([parity_masks(s) for s in sets]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(_set_id, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(masks[:, 0]), pa.array(masks[:, 1]), _lists(merged)], ["doc_id", "sid", "n", "m1", "m2", "h"])
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(made, "doc_id long, sid long, n long, h array<bigint>")
+    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(made, "doc_id long, sid long, n long, m1 long, m2 long, h array<bigint>")
 
 
 def _needed(a: Column, b: Column, t: int) -> Column:
@@ -122,7 +149,7 @@ def _sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFram
     wanted = F.broadcast(wanted) if small_enough(wanted, BROADCAST_IDS) else wanted
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sets = [shingle_set(x, k) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(map(_set_id, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "members"])
 
@@ -135,7 +162,7 @@ def confirmed(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int, t: int)
     sets = _sets(docs, ids, pairs, k)
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
                 x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
@@ -153,32 +180,40 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, threshold: int =
     rows = written(_postings(docs, k, t, long_lists(docs, k, t)), "merged-lists")
     ids = rows.select("doc_id", "sid", "n")
 
-    lists = rows.filter("sid IS NOT NULL").select("sid", "n", "h").dropDuplicates(["sid"]).select(F.explode("h").alias("h"), "sid", "n")
+    sets = written(rows.filter("sid IS NOT NULL").groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "m1", "m2", "h")), F.count("*").alias("weight")), "nodes")
+    lists = sets.select(F.explode("h").alias("h"), "sid")
     shared = lists.groupBy("h").count().filter("count > 1").select("h")
-    lists = written(lists.join(shared, "h"), "lists")
+    lists = lists.join(shared, "h").join(sets.select(*MEMBER, "weight"), "sid").select("h", *MEMBER, "weight")
+    lists = written(lists, "lists").withColumn("component", F.col("sid"))
 
-    # Pass one: each list's documents of like size meet its least and greatest.
+    # Pass one: each list's documents of like size meet a pivot, and those that lie in other components than theirs are tried.
     size = F.floor(F.log("n") / F.lit(float(np.log(100 / t)))).alias("size")
-    sized = lists.select("h", "sid", "n", size)
-    pivots = sized.groupBy("h", "size").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi")
-    met = sized.join(pivots, ["h", "size"]).select("n", "sid", F.explode(F.array("lo", "hi")).alias("pivot")).filter("sid <> pivot")
-    n = F.col("n")
-    # Pairs that occur seldom are left to pass two.
-    often = F.col("c") * 4 >= n - F.ceil(F.lit(t) * n / 100) + 1 - (n - _needed(n, n, t))
-    star = met.groupBy(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).agg(F.count("*").alias("c"), F.max("n").alias("n")).filter(often)
-    links = written(confirmed(docs, ids, written(star.select("a", "b"), "pairs"), k, t), "links")
-    labels = components(links)
+    links = None
+    for turn in range(ROUNDS):
+        at = [] if turn == 0 else [F.xxhash64("sid", F.lit(turn)).alias("at")]
+        most = F.struct("weight", *at, "sid", "m1", "m2", "n", "component")
+        pivots = lists.groupBy("h", size).agg(F.max(most).alias("p"), F.count("*").alias("m")).filter("m > 1")
+        pivots = pivots.select("h", "size", *(F.col(f"p.{c}").alias("p" + c) for c in (*MEMBER, "component")))
+        met = lists.select("h", size, *MEMBER, "component").join(pivots, ["h", "size"]).filter(F.col("component") != F.col("pcomponent")).filter(may_link("", "p", t))
+        met = met.groupBy("sid", "psid").agg(F.count("*").alias("c"))
+        best = F.slice(F.sort_array(F.collect_list(F.struct("c", "psid")), False), 1, TRIED)
+        star = met.groupBy("sid").agg(best.alias("best")).select("sid", F.explode("best.psid").alias("psid"))
+        star = star.select(F.least("sid", "psid").alias("a"), F.greatest("sid", "psid").alias("b")).distinct()
+        more = written(confirmed(docs, ids, written(star, "pairs"), k, t), "links")
+        links = more if links is None else links.union(more)
+        labels = components(links)
+        degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        known = labels.join(degrees, "node").select(F.col("node").alias("sid"), F.col("component").alias("c"), "degree")
+        weight = (F.col("weight") + F.coalesce("degree", F.lit(0))).alias("weight")
+        lists = written(lists.join(known, "sid", "left").select("h", *MEMBER, weight, F.coalesce("c", "component").alias("component")), "labelled")
 
     # Pass two: what lies in different components.
-    lists = written(lists.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid")), "labelled")
     main = lists.groupBy("h", "component").count().groupBy("h").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("m")).filter("m > 1").select("h", "main")
-    mixed = lists.join(main, "h")
-    x = mixed.filter("component <> main").select("h", F.col("sid").alias("xs"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    y = mixed.select("h", F.col("sid").alias("ys"), F.col("n").alias("yn"), F.col("component").alias("yc"), "main")
-    apart = (F.col("xc") != F.col("yc")) & ((F.col("yc") == F.col("main")) | (F.col("xs") < F.col("ys")))
-    alike = F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * t
-    pairs = x.join(y, "h").filter(apart & alike)
-    pairs = pairs.select(F.least("xs", "ys").alias("a"), F.greatest("xs", "ys").alias("b"), F.least("xn", "yn").alias("p"), F.greatest("xn", "yn").alias("q"))
+    mixed = lists.select("h", *MEMBER, "component").join(main, "h")
+    x, y = _named(mixed.filter("component <> main"), "x", "component"), _named(mixed, "y", "component", "main").withColumnRenamed("h", "yh")
+    apart = (F.col("xcomponent") != F.col("ycomponent")) & ((F.col("ycomponent") == F.col("ymain")) | (F.col("xsid") < F.col("ysid")))
+    pairs = x.join(y, (F.col("h") == F.col("yh")) & apart & may_link("x", "y", t))
+    pairs = pairs.select(F.least("xsid", "ysid").alias("a"), F.greatest("xsid", "ysid").alias("b"), F.least("xn", "yn").alias("p"), F.greatest("xn", "yn").alias("q"))
     pairs = pairs.groupBy("a", "b", "p", "q").agg(F.count("*").alias("c"))
 
     def merged_at_least(n: Column) -> Column:
