@@ -47,9 +47,10 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("bigint"))
 
 
-def bucket_at(h: Column, i: Column, buckets: int) -> tuple[Column, Column]:
-    """Buckets of the unigram at i and of the bigram that begins there (null at the end)."""
-    return F.get(h, i) % buckets, (F.get(h, i) * 31 + F.get(h, i + 1) + 7) % buckets
+def buckets_of(h: Column, buckets: int) -> Column:
+    """Buckets of all unigrams, then of all bigrams and a null for the one that the last word doesn't begin."""
+    two = F.transform(h, lambda x, i: ((x * 31 + F.get(h, i + 1) + 7) % buckets).cast("int"))
+    return F.concat(F.transform(h, lambda x: (x % buckets).cast("int")), two)
 
 
 def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS) -> list[int]:
@@ -61,10 +62,7 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKE
     rows = rows.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words_of(F.col("text")).alias("words"))
     rows = rows.filter(F.size("words") > 0).select("trusted", word_hashes(F.col("words")).alias("h"))
 
-    def all_of(h: Column) -> Column:
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.array(*bucket_at(h, i, buckets))))
-
-    grams = rows.select("trusted", F.explode(let(F.col("h"), all_of)).alias("bucket"))
+    grams = rows.select("trusted", F.explode(let(F.col("h"), lambda h: buckets_of(h, buckets))).alias("bucket"))
     counts = grams.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good")).collect()
     raw, good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)
     weights = [0] * buckets
@@ -103,9 +101,9 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
     rows = docs.select("doc_id", text.alias("text"), words_of(F.col("text")).alias("words"))
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
-    def windows(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.slice(w, i, 5)))
-        return F.when(F.size(w) >= 5, each).otherwise(F.array().cast("array<bigint>"))
+    def windows(v: Column) -> Column:
+        each = F.transform(v, lambda x, i: F.xxhash64(x, *(F.get(v, i + j) for j in range(1, 5))))
+        return F.slice(each, 1, F.greatest(F.lit(0), F.size(v) - 4))
 
     rows = rows.select(
         "doc_id",
@@ -113,18 +111,12 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
         F.char_length(F.array_join("words", "")).alias("word_chars"),
         (F.char_length("text") - F.char_length(F.regexp_replace("text", SYMBOLS, ""))).alias("n_symbols"),
         lines.alias("lines"),
-        let(F.col("words"), windows).alias("win"),
+        let(F.transform("words", lambda w: F.xxhash64(w)), windows).alias("win"),
         word_hashes(F.col("words")).alias("h"),
     )
 
-    def total(h: Column) -> Column:
-        def add(acc: Column, i: Column) -> Column:
-            one, two = bucket_at(h, i, buckets)
-            return acc + F.get(table, one.cast("int")) + F.coalesce(F.get(table, two.cast("int")), F.lit(0))
-
-        return F.when(F.size(h) > 0, F.aggregate(F.sequence(F.lit(0), F.size(h) - 1), F.lit(0).cast("bigint"), add)).otherwise(F.lit(0))
-
-    score = let(F.col("h"), total)
+    grams = let(F.col("h"), lambda h: buckets_of(h, buckets))
+    score = F.aggregate(grams, F.lit(0).cast("bigint"), lambda acc, x: acc + F.coalesce(F.get(table, x), F.lit(0)))
     rows = rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
