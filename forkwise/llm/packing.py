@@ -18,15 +18,20 @@ ignored.
 
 from __future__ import annotations
 
+import json
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_alphabet
 from .common import text_bytes, written
 
 CAPACITY = 2048
@@ -51,38 +56,79 @@ def cut(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int]:
     return pieces
 
 
+# Fixed value: the steps before the merges that WordIds takes itself.
+STEPS = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+#: No white space, controls or combining marks: what these steps do to such characters is the same in every library.
+_PLAIN = regex.compile(r"[!-~\u00a1-\u024f]+")
+
+
 class WordIds(dict):
-    """Ids, as little-endian bytes, of what stands between ASCII spaces; the tokenizer drops white space, so that words don't affect each other."""
+    """Ids, as little-endian bytes, of what stands between ASCII spaces; the tokenizer drops white space, so that words don't affect each other.
+
+    Plain words go to the tokenizer's merges at once if its steps before them are ``STEPS``;
+    other words, and those that hold a special string, take the tokenizer's whole way. Of the
+    words known before the last ``limit`` only those that come again are kept.
+    """
 
-    def __init__(self, tokenizer, limit: int = 400_000):
+    def __init__(self, tokenizer, limit: int = 500_000):
         self.tokenizer, self.limit = tokenizer, limit
+        self.old: dict[bytes, bytes] = {}
+        spec = json.loads(tokenizer.to_str())
+        steps = {
+            "normalizer": (spec["normalizer"] or {}).get("normalizers"),
+            "pattern": next((p["pattern"].get("Regex") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", ()) if p["type"] == "Split"), None),
+        }
+        self.direct = steps == STEPS
+        self.parts = regex.compile(STEPS["pattern"]).findall
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.spelled = {b: c for c, b in byte_alphabet().items()}
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > self.limit:
+        if len(self) > self.limit:
+            self.old = dict(self)
             self.clear()
-        new = [w for w in words if w not in self]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+        new = words.difference(self)
+        known = new.intersection(self.old)
+        self.update(zip(known, map(self.old.__getitem__, known)))
+        merged, others = self.tokenizer.model.tokenize, []
+        for w in new - known:
+            s = w.decode()
+            if not self.direct or not _PLAIN.fullmatch(s) or any(x in s for x in self.special):
+                others.append(w)
+                continue
+            s = s.lower()
+            ids = [t.id for p in ((s,) if w.isalpha() else self.parts(s)) for t in merged(p if p.isascii() else p.encode().decode("latin-1").translate(self.spelled))]
+            self[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
             self[w] = np.array(e.ids, "<u4").tobytes()
 
 
+@lru_cache(maxsize=2)
+def word_ids(tokenizer_path: str) -> WordIds:
+    """One a Python worker, whichever tasks it runs."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return WordIds(tokenizer)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        ids_of = WordIds(tokenizer)
+        ids_of = word_ids(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts = [t.split() for t in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 256):  # a few documents' words at a time
-                part = texts[at : at + 256]
+            for at in range(0, batch.num_rows, 1024):  # a few documents' words at a time
+                part = [t.split() for t in batch.column(1).slice(at, 1024).to_pylist()]
                 ids_of.learn(set().union(*part))
                 out: list[tuple] = []
                 for i, words in enumerate(part, at):

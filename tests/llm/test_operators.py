@@ -73,6 +73,19 @@ def test_packing(spark):
     assert packing.harmonic_packing(frame(spark, []), path).count() == 0
 
 
+def test_word_ids():
+    t = library("word_bpe_49k.json")
+    texts = ["It's  DON'T Straße. ÀÉî,ç!? İx Σας ΑΣ e\u0301t H\u0331 \u0085a\u00a0b x\x1cy a|b || <|endoftext|>. <|ENDOFTEXT|> 12a34 --''ss 漢字 \u212bK ﬁn", words(300, 8), words(300, 9).upper()]
+    for limit in (0, 500_000):
+        ids = packing.WordIds(t, limit)
+        for text in [*texts, *texts]:
+            split = text.encode().split()
+            ids.learn(set(split))
+            assert ids.direct and b"".join(map(ids.__getitem__, split)) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    other = library("byte_bpe_50k.json")
+    assert not packing.WordIds(other).direct
+
+
 def test_quality_rules(spark):
     rows = [*ODD[:6], (20, "one two three four five six seven one two three four five\nagain\nagain\n#"), (21, words(300, 2))]
     for trusted in ([], [(21,)]):
