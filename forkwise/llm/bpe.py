@@ -18,7 +18,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -177,12 +177,18 @@ class Bpe:
         return [[t for p in parts for t in (ids[p] if p >= 0 else (-1 - p,))] for parts in plan]
 
 
+@lru_cache(maxsize=2)
+def loaded(path: str) -> tuple[Bpe, PieceCache]:
+    """The vocabulary and the ids of pieces seen so far; one a Python worker, whichever tasks it runs."""
+    bpe = Bpe(path)
+    return bpe, PieceCache(lambda texts: [np.array(x, np.int32).tobytes() for x in bpe.encode_batch(texts)])
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids (array of int) of every whole text of ``docs(doc_id, text)``."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(path)
-        cache = PieceCache(lambda texts: [np.array(x, np.int32).tobytes() for x in bpe.encode_batch(texts)])
+        _, cache = loaded(path)
         for batch in batches:
             at = 0
             for part in in_parts([t or "" for t in batch.column(1).to_pylist()]):
@@ -201,7 +207,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded(doc_id, ids)`` with the decoded text, special strings kept."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(path)
+        bpe, _ = loaded(path)
         for batch in batches:
             lists = batch.column(1)
             texts = []
