@@ -8,9 +8,10 @@ whole text: of overlapping spans the set with the largest total weight stays, a
 weight being its length, raised by its distance from the window's edges.
 
 A span of any kind holds a digit or an @, so windows are laid around those characters only;
-elsewhere no span could be valid. The kinds' rules (parts of at most 255, the Luhn check, 9
-to 15 digits in a phone number) hold for added spans too. Added spans that overlap a base
-span are dropped.
+elsewhere no span could be valid. The kinds' rules (four parts of at most 255, the Luhn check,
+9 to 15 digits in a phone number) hold for added spans too, and each has its kind's shape: a
+name, one @ and a dotted domain, in any script; four numbers; digits and what is written
+between them. Added spans that overlap a base span are dropped.
 
 Training takes at most ``max_windows`` windows, those with the smallest hash; finding covers
 every row and its whole text.
@@ -44,6 +45,13 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
 _NUMBER = re.compile(r"[0-9]+")
+# Shapes of tagged spans; those of the last three hold all that the patterns find.
+_SHAPES = {
+    "email": re.compile(r"[^\s@]*\w[^\s@]*[\x20]?@[\x20]?\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_][\w-]*"),
+    "ip": re.compile(r"[0-9]+(?:\.[0-9]+){3}"),
+    "card": re.compile(r"[0-9](?:[\s./\u2010-\u2015-]{0,2}[0-9])*"),
+    "phone": re.compile(r"\+?[\s(]*[0-9][\s()./0-9\u2010-\u2015-]*[0-9](?:\s*(?:x|ext\.?)\s*[0-9]+)?"),
+}
 
 
 def luhn(digits: str) -> bool:
@@ -59,8 +67,11 @@ def digits_of(s: str) -> str:
 
 
 def valid(kind: str, s: str) -> bool:
+    """Whether ``s``, which may be any string, can be of the kind."""
+    if not _SHAPES[kind].fullmatch(s):
+        return False
     if kind == "email":
-        return "@" in s
+        return True
     if kind == "ip":
         return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in s.split("."))
     d = digits_of(s)
