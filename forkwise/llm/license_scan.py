@@ -112,9 +112,10 @@ class Scanner:
                 best = None
                 for gain, _, i in ranked:
                     name, _, words, _ = self.known[i]
-                    # A long block holds much else, so its gain is seen against the template's own share.
+                    # A long block holds much else, so its gain is seen against the template's own share;
+                    # a shorter template further down may reach its own.
                     if gain < LEAST_REDUCTION * min(1.0, len(words) / max(1, len(said))):
-                        break
+                        continue
                     if c := self.confirm(said, words):
                         rank = (len(words) - 2 * len(c[2]), gain)
                         if best is None or rank > best[0]:
