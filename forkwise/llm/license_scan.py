@@ -1,10 +1,15 @@
 """License scan by conditional compression.
 
-Blocks of text around license words are compressed alone and with each template as a raw
-zstandard dictionary. Templates are ranked by how much they shorten the block; the best ones
-are confirmed by aligning words: every word of the template that names the license or its
-version must stand in the block in order, and few of the others may differ. The differing
-words are part of the result.
+Blocks of text around license words, across line breaks, are laid out in words, so that
+wrapping, comment marks and case make no difference. Every template whose telling words (those
+that name the license or its version) stand in a block is aligned with it: all of its telling
+words must be there in order, and few of the others may differ. The aligned passage is
+compressed alone and with the template as a raw zstandard dictionary, and must shrink by
+LEAST_REDUCTION. The longest template with the fewest differing words stays; the differing
+words are part of the result. Identifiers of SPDX tags are taken as they are written.
+
+What is found are notices, tags, and license texts by their title or by their grant and
+conditions, in the wordings of TEMPLATES; other licenses only by SPDX tag.
 
 Defined cases: null and empty texts hold no license. Repeated rows and null ids each give a
 row; of equal matches that overlap the longer template stays; empty tables give empty
@@ -13,15 +18,22 @@ results; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-# Short notices of public licenses, by SPDX identifier.
+# Conditions are given without their numbers, whose marks differ.
+_MIT_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_GNU = [("GPL-3.0", "General Public License", "3"), ("GPL-2.0", "General Public License", "2"), ("LGPL-3.0", "Lesser General Public License", "3"), ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-2.0", "Library General Public License", "2"), ("AGPL-3.0", "Affero General Public License", "3")]
+# Notices of public licenses, by SPDX identifier.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
@@ -38,19 +50,56 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "Released under CC0 1.0 into the public domain."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", _MIT_GRANT),
+    ("MIT", _MIT_GRANT + " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    *((name, f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+      for name, kind, version in _GNU),
+    *((name, f"under the terms of the GNU {kind} version {version} as published by the Free Software Foundation") for name, kind, version in _GNU),
+    *((name, f"under the terms of version {version} of the GNU {kind} as published by the Free Software Foundation") for name, kind, version in _GNU),
+    *((name, f"under the terms of the GNU {kind}, version {version}") for name, kind, version in _GNU),
+    *((name, f"licensed under the GNU {kind} version {version}") for name, kind, version in _GNU),
+    *((name, f"licensed under the GNU {kind} v{version}") for name, kind, version in _GNU),
+    *((name, f"GNU {kind} Version {version}, {date}") for (name, kind, version), date in zip(_GNU, ("29 June 2007", "June 1991", "29 June 2007", "February 1999", "June 1991", "19 November 2007"))),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    *((name, f"This work is licensed under a Creative Commons {kind} 4.0 International License.")
+      for name, kind in (("CC-BY-4.0", "Attribution"), ("CC-BY-SA-4.0", "Attribution-ShareAlike"), ("CC-BY-NC-4.0", "Attribution-NonCommercial"), ("CC-BY-ND-4.0", "Attribution-NoDerivatives"), ("CC-BY-NC-SA-4.0", "Attribution-NonCommercial-ShareAlike"), ("CC-BY-NC-ND-4.0", "Attribution-NonCommercial-NoDerivatives"))),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 # Words that tell licenses from one another.
-NAMES = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "by-sa", "by-nc", "by-nd", "cc0", "redistribution", "hereby", "compliance"}
-
-_TRIGGER = re.compile(r"(?i)licen[cs]e|hereby granted|redistribution and use|\bCC0?\b")
+NAMES = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "by-sa", "by-nc", "by-nd", "cc0", "redistribution", "hereby", "compliance", "endorse", "fee", "unencumbered", "commons", "attribution", "attribution-sharealike", "attribution-noncommercial", "attribution-noderivatives", "attribution-noncommercial-sharealike", "attribution-noncommercial-noderivatives", "by-nc-sa", "by-nc-nd"}
+# Words that make another license of the template they are not in.
+OTHERS = {"lesser", "affero"}
+
+_TRIGGER = re.compile(r"(?i)licen[cs]|hereby|redistribution|unencumbered|\bCC0?\b")
+_TAG = re.compile(r"(?i)SPDX-License-Identifier:[ \t]*(?=[\w(])")
+_TAGGED = re.compile(r"[ \t(]*([A-Za-z0-9][A-Za-z0-9.+:-]*)(?:[ \t]+(?:WITH|with)[ \t]+[A-Za-z0-9.-]+)?[ \t)]*")
+_OPERATOR = re.compile(r"(?:AND|OR|and|or)\b")
 _WORD = re.compile(r"\w+(?:[-.]\w+)*")
-REACH = 40
 LEAST_REDUCTION = 0.25
 MOST_DIFFERENT = 0.25
 
 
+_VERSION = re.compile(r"v(?=\d)")
+
+
 def _spoken(words: list[str]) -> list[str]:
-    return [w.lower() for w in words]
+    return [_VERSION.sub("", w.lower(), count=1) if w[0] in "vV" else w.lower() for w in words]
+
+
+def _telling(word: str) -> bool:
+    return word in NAMES or word[0].isdigit()
 
 
 class Scanner:
@@ -58,28 +107,50 @@ class Scanner:
         self.alone = zstandard.ZstdCompressor(level=3, write_content_size=False)
         self.known = []
         for name, text in templates:
-            data = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             words = _spoken(_WORD.findall(text))
-            self.known.append((name, text, words, zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False)))
-
-    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Spans of up to REACH words on either side of license words, merged where they meet, within a line."""
-        at = 0
-        for line in text.split("\n"):
-            if _TRIGGER.search(line):
-                words = [m.span() for m in _WORD.finditer(line)]
-                spans: list[list[int]] = []
-                i = 0
-                for m in _TRIGGER.finditer(line):
-                    while i + 1 < len(words) and words[i][1] <= m.start():
-                        i += 1
-                    lo, hi = words[max(0, i - REACH)][0], words[min(len(words) - 1, i + REACH)][1]
-                    if spans and lo <= spans[-1][1]:
-                        spans[-1][1] = max(hi, spans[-1][1])
-                    else:
-                        spans.append([lo, hi])
-                yield from ((at + a, at + b) for a, b in spans)
-            at += len(line) + 1
+            self.known.append((name, words, set(words), {w for w in words if _telling(w)}, self.with_dictionary(words)))
+        #: Words on either side of a license word: the longest template with as many words more as may differ.
+        self.reach = max(40, *(math.ceil(len(words) * (1 + MOST_DIFFERENT)) for _, words, *_ in self.known))
+
+    def with_dictionary(self, words: list[str]) -> zstandard.ZstdCompressor:
+        data = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False)
+
+    def reduction(self, said: list[str], compressor: zstandard.ZstdCompressor) -> float:
+        raw = " ".join(said).encode()
+        return 1 - len(compressor.compress(raw)) / len(self.alone.compress(raw))
+
+    def blocks(self, text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        """Runs of words (first, behind the last) around license words, merged where they meet."""
+        ends, run = [b for _, b in words], None
+        for m in _TRIGGER.finditer(text):
+            i = bisect_right(ends, m.start())
+            lo, hi = max(0, i - self.reach), min(len(words), i + 1 + self.reach)
+            if run and lo <= run[1]:
+                run = (run[0], hi)
+            else:
+                if run:
+                    yield run
+                run = (lo, hi)
+        if run:
+            yield run
+
+    def places(self, block: list[str], words: list[str], known: set[str]) -> Iterator[tuple[int, int]]:
+        """Runs of the block outside of which the template can't be: any place of it holds enough of its words."""
+        size = min(len(block), int(len(words) * (1 + MOST_DIFFERENT)))
+        least = math.ceil(len(words) * (1 - MOST_DIFFERENT))
+        seen = [0, *accumulate(w in known for w in block)]
+        run = None
+        for i in range(len(block) - size + 1):
+            if seen[i + size] - seen[i] >= least:
+                if run and i <= run[1]:
+                    run = (run[0], i + size)
+                else:
+                    if run:
+                        yield run
+                    run = (i, i + size)
+        if run:
+            yield run
 
     def confirm(self, block: list[str], template: list[str]) -> tuple[int, int, list[str]] | None:
         """First and last block word of the template's best alignment, and the differing words."""
@@ -88,44 +159,72 @@ class Scanner:
             return None
         longest = max(matches, key=lambda m: m.size)
         near = [m for m in matches if abs((m.a - m.b) - (longest.a - longest.b)) <= len(template)]
+        # The run of matches with most words matched and fewest between; text around may hold a missing word.
+        best = score = at = 0
+        tight = near
+        for i, m in enumerate(matches):
+            gap = m.a - matches[i - 1].a - matches[i - 1].size if i else 0
+            if score <= gap:
+                score, at = 0, i
+            else:
+                score -= gap
+            score += m.size
+            if score > best:
+                best, tight = score, matches[at : i + 1]
+        return self._judged(block, template, tight) or self._judged(block, template, near)
+
+    def _judged(self, block: list[str], template: list[str], near: list) -> tuple[int, int, list[str]] | None:
         first, last = near[0].a, near[-1].a + near[-1].size
         there = {i for m in near for i in range(m.b, m.b + m.size)}
         missing = [w for i, w in enumerate(template) if i not in there]
-        extra = (last - first) - len(there)
-        if any(w in NAMES or w[0].isdigit() for w in missing) or len(missing) + extra > MOST_DIFFERENT * len(template):
-            return None
         used = {i for m in near for i in range(m.a, m.a + m.size)}
-        return first, last, [f"-{w}" for w in missing] + [f"+{block[i]}" for i in range(first, last) if i not in used]
+        extra = [block[i] for i in range(first, last) if i not in used]
+        if any(map(_telling, missing)) or not OTHERS.isdisjoint(extra) or len(missing) + len(extra) > MOST_DIFFERENT * len(template):
+            return None
+        return first, last, [f"-{w}" for w in missing] + [f"+{w}" for w in extra]
+
+    def tags(self, text: str) -> Iterator[dict]:
+        """The identifiers of SPDX tags; the first one's span begins with its tag."""
+        for tag in _TAG.finditer(text):
+            start, at = tag.start(), tag.end()
+            while m := _TAGGED.match(text, at):
+                said = _spoken(_WORD.findall(text[start : m.end(1)]))
+                yield {"license": m[1], "start": start, "end": m.end(1), "reduction": self.reduction(said, self.with_dictionary(said)), "differences": []}
+                more = _OPERATOR.match(text, m.end())
+                following = more and _TAGGED.match(text, more.end())
+                if not following:
+                    break
+                start, at = following.start(1), more.end()
 
     def scan(self, text: str) -> list[dict]:
-        found = []
-        for a, b in self.blocks(text):
-            todo = [(a, b)]
-            while todo:
-                lo, hi = todo.pop()
-                block = text[lo:hi]
-                raw = block.encode()
-                size = len(self.alone.compress(raw))
-                ranked = sorted(((1 - len(c.compress(raw)) / size, len(words), i) for i, (_, _, words, c) in enumerate(self.known)), reverse=True)
-                spans = [m.span() for m in _WORD.finditer(block)]
-                said = _spoken([block[x:y] for x, y in spans])
-                best = None
-                for gain, _, i in ranked:
-                    name, _, words, _ = self.known[i]
-                    # A long block holds much else, so its gain is seen against the template's own share;
-                    # a shorter template further down may reach its own.
-                    if gain < LEAST_REDUCTION * min(1.0, len(words) / max(1, len(said))):
-                        continue
-                    if c := self.confirm(said, words):
-                        rank = (len(words) - 2 * len(c[2]), gain)
-                        if best is None or rank > best[0]:
-                            best = (rank, name, gain, c)
-                if best:
-                    _, name, gain, (x, y, differences) = best
-                    found.append({"license": name, "start": lo + spans[x][0], "end": lo + spans[y - 1][1], "reduction": gain, "differences": differences})
-                    # What stands before and after may hold another notice.
-                    todo += [(p, q) for p, q in ((lo, lo + spans[x][0]), (lo + spans[y - 1][1], hi)) if _TRIGGER.search(text, p, q)]
-        return sorted(found, key=lambda m: m["start"])
+        if not _TRIGGER.search(text):
+            return []
+        found = list(self.tags(text))
+        words = [m.span() for m in _WORD.finditer(text)]
+        said = _spoken([text[x:y] for x, y in words])
+        todo = list(self.blocks(text, words))
+        while todo:
+            lo, hi = todo.pop()
+            block = said[lo:hi]
+            there = set(block)
+            best = None
+            for name, template, known, telling, compressor in self.known:
+                if not telling <= there or len(known & there) < len(known) - MOST_DIFFERENT * len(template):
+                    continue
+                for p, q in self.places(block, template, known):
+                    if c := self.confirm(block[p:q], template):
+                        first, last, differences = p + c[0], p + c[1], c[2]
+                        gain = self.reduction(block[first:last], compressor)
+                        rank = (len(template) - 2 * len(differences), gain)
+                        if gain >= LEAST_REDUCTION and (best is None or rank > best[0]):
+                            best = (rank, name, gain, first, last, differences)
+            if best:
+                _, name, gain, first, last, differences = best
+                first, last = lo + first, lo + last
+                found.append({"license": name, "start": words[first][0], "end": words[last - 1][1], "reduction": gain, "differences": differences})
+                # What stands before and after may hold another notice.
+                todo += [(p, q) for p, q in ((lo, first), (last, hi)) if p < q and _TRIGGER.search(text, words[p][0], words[q - 1][1])]
+        return sorted(found, key=lambda m: (m["start"], m["end"]))
 
 
 MATCHES = "doc_id long, matches array<struct<license: string, start: int, end: int, reduction: double, differences: array<string>>>"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
 from forkwise.llm import license_scan
 
@@ -21,3 +22,37 @@ def test_short_notices_amid_legal_prose():
             prose = [rng.choice(LEGAL) for _ in range(80)]
             text = " ".join([*prose[:40], notice, *prose[40:]])
             assert name in {m["license"] for m in scanner.scan(text)}, (notice, seed)
+
+
+def wrapped(text, mark, width=60):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+GPL = "This file is part of Thing. Thing is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+MIT = 'Copyright (c) 2020 Someone. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'
+ISC = "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+BSD_2 = license_scan.TEMPLATES[[n for n, _ in license_scan.TEMPLATES].index("BSD-2-Clause")][1] if "BSD-2-Clause" in dict(license_scan.TEMPLATES) else "Redistribution"
+BSD_3 = BSD_2 + " 3. Neither the name of Someone nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'
+
+
+def test_wrapped_notices():
+    for text, name in (
+        (GPL.format("General", 3), "GPL-3.0"), (GPL.format("General", 2), "GPL-2.0"), (GPL.format("Lesser General", "2.1"), "LGPL-2.1"), (GPL.format("Affero General", 3), "AGPL-3.0"),
+        (MIT, "MIT"), (ISC, "ISC"), (BSD_2, "BSD-2-Clause"), (BSD_3, "BSD-3-Clause"), (APACHE, "Apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ):
+        for mark in ("", " * ", "# ", "// "):
+            for width in (30, 70):
+                assert names("x = 1\n" + wrapped(text, mark, width) + "\nint main;\n") == {name}, (name, mark)
+
+
+def test_tags_titles_and_versions():
+    scan = license_scan.Scanner().scan
+    text = "// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note OR BSD-2-Clause)\nint x;"
+    assert [(m["license"], text[m["start"] : m["end"]]) for m in scan(text)] == [("GPL-2.0-only", "SPDX-License-Identifier: (GPL-2.0-only"), ("BSD-2-Clause", "BSD-2-Clause")]
+    assert names("                   GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n") == {"GPL-3.0"}
+    assert names("under the terms of the GNU Lesser General Public License, version 2.5") == set()
+    assert names("a license to talk\nabout the general public and version 3") == set()
+    two = MIT + "\n\n" + wrapped(APACHE, "# ")
+    assert names(two) == {"MIT", "Apache-2.0"}
