@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -34,6 +38,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` has made, once what was made of them is written too."""
+    for df in tables:
+        session = df.sparkSession
+        fs = session.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if folder.rpartition("/")[0].endswith(shared_dir(session).rpartition(":")[2].lstrip("/")):
+                fs(folder).getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(fs(folder), True)
+
+
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark removes a query's shuffle files as soon as its result is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def text_bytes(column: str = "text"):
     """UTF-8 bytes of a text column, null as empty."""
     return F.encode(F.coalesce(F.col(column), F.lit("")), "UTF-8")
@@ -74,7 +103,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         own = labels.select(F.col("node").alias("component"), F.col("component").alias("up"))
         step = lower.join(own, "component", "left").select("node", F.least("component", F.coalesce("up", "component")).alias("component"), "was")
         step = written(step, "labels")
+        discard(labels)
         labels = step.select("node", "component")
         if step.filter(F.col("component") != F.col("was")).isEmpty():
+            discard(edges)
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -2,19 +2,30 @@
 
 Each document is the set of hashes of its word shingles. Two documents link when the
 overlap of their sets reaches T = ceil(t * (a + b) / (100 + t)), t being the threshold in
-percent. Following DivideSkip, a document's inverted lists are divided: the long ones
-(shingles found in many documents) are skipped and only the others, plus as many of the
-long as make up the number needed, are merged. A pair that is to reach T must occur in at
-least T - L merged lists, L being the number skipped; such pairs are confirmed by binary
-probes of the whole sorted sets. Before that, parity masks of the sets rule out pairs that
-differ in too many members.
+percent. A set of n members can only link with one that it meets in its n - ceil(t * n / 100)
++ 1 rarest shingles, and two sets must meet in as many of these as ``least_met`` says; the
+inverted lists of the others are never read.
+
+How rare a shingle is, is counted over all documents, within one part of the hash space, the
+same for all (``counted_part``), which holds more of each set than must be merged. A
+document's shingles of that part come first, by their number of documents; only small sets
+with too few of them go on to others. Most shingles occur in one document only: they use up a
+document's merged lists, but make no list.
+
+As in DivideSkip, the lists that are merged are so the short ones, and the long ones, which
+could only add to what must come up in the short, are left for later: arrays of the short
+lists' members are joined to the documents in them, and for each document a heap merges its
+arrays and counts how often another document comes up. Those that come up often enough are
+confirmed by binary probes of the whole sorted sets, which hold the long lists' shingles
+too. Sizes, and parity masks of the sets, rule out most members of an array before it is
+merged.
 
 Groups of many similar documents would pair quadratically, so most of a group is connected
-before pairs are merged. In a few rounds each list's documents meet a pivot of like size, and
-every document is tried with the pivots that it meets most; confirmed links give components.
-Then all pairs of a list whose documents lie in different components are merged and
-confirmed. Two documents already known to be connected need no further link, so no
-connection is lost, whatever the rounds have found.
+before that: in each round every list's documents meet a pivot of like size, and every
+document is tried with the pivots that it meets most; confirmed links give components. Then
+only pairs that lie in different components are looked for as above. Two documents already
+known to be connected need no further link, so no connection is lost, whatever the rounds
+have found.
 
 Documents with equal sets are one node throughout. Shingles and sets are identified by
 64-bit hashes.
@@ -29,7 +40,9 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +50,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, slices, small_enough, text_bytes, written
+from .common import components, discard, slices, small_enough, text_bytes, tidy_shuffles, written
 
-#: A shingle in more documents than this is a long list.
-LONG_LIST = 32
-#: Hashes of long lists sent to every task: 4 MB at most. With more, the bound of a long list doubles until they fit; the order stays valid, only merges grow.
-MAX_LONG_LISTS = 500_000
-#: Ids up to this many are broadcast when texts are looked up again (about 16 MB).
+#: Members of a list that are joined together, as an array; and about how many members a merge takes, beyond which a document's lists are cut by their members' ids.
+BLOCK = 64
+MERGED = 1 << 16
+#: Ids or sets up to this many are broadcast (about 16 MB).
 BROADCAST_IDS = 1_000_000
-
-MEMBER = ("sid", "n", "m1", "m2")
-#: Rounds of pivots (those with most copies and links so far), and pivots that a document is tried with in each. More rounds cost a shuffle of the lists and hardly find more.
-ROUNDS = 1
-TRIED = 3
+#: Most rounds of pivots, which end when one links nothing; and pivots that a document is tried with in each.
+ROUNDS = 2
+TRIED = 2
+#: Set ids that a task remembers, so as not to write the members of equal sets again.
+REMEMBERED = 200_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,12 +85,28 @@ def prefix_length(n: int, t: int) -> int:
     return n - -(-t * n // 100) + 1
 
 
+def least_met(a: int, b: int, t: int) -> int:
+    """In how many shingles that both merge two linking sets of these sizes meet."""
+    return -(-t * (a + b) // (100 + t)) - -(-t * max(a, b) // 100) + 1
+
+
+def counted_part(s: np.ndarray, t: int) -> np.ndarray:
+    """The members that are counted: those in the first 3/2 * (100 - t) percent of the hash space, and as many of the next as must be merged."""
+    end = min(0.99, (100 - t) * 1.5 / 100)
+    return s[: max(int(np.searchsorted(s, np.uint64(end * float(1 << 63)) * np.uint64(2))), prefix_length(len(s), t))] if len(s) else s
+
+
 def parity_masks(s: np.ndarray) -> np.ndarray:
     """Two 64-bit words: for each of 128 residues, whether an odd number of the set's hashes have it."""
     odd = np.bincount((s & np.uint64(127)).astype(np.int64), minlength=128) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _needed(a: Column, b: Column, t: int) -> Column:
+    """Overlap that two sets of sizes a and b must have to link."""
+    return F.ceil(F.lit(t) * (a + b) / F.lit(100 + t))
+
+
 def may_link(x: str, y: str, t: int) -> Column:
     """False only if the sets in columns with these prefixes differ too much: the masks of two sets differ in no more bits than the sets in members."""
     apart = F.bit_count(F.col(x + "m1").bitwiseXOR(F.col(y + "m1"))) + F.bit_count(F.col(x + "m2").bitwiseXOR(F.col(y + "m2")))
@@ -86,59 +114,56 @@ def may_link(x: str, y: str, t: int) -> Column:
     return (apart <= a + b - 2 * _needed(a, b, t)) & (F.least(a, b) * 100 >= F.greatest(a, b) * t)
 
 
-def _named(rows: DataFrame, prefix: str, *more: str) -> DataFrame:
-    """The columns of list members, and ``more``, with a prefix; ``h`` keeps its name."""
-    return rows.select("h", *(F.col(c).alias(prefix + c) for c in (*MEMBER, *more)))
-
-
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
-    flat = np.concatenate(values).view(np.int64) if values else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
+def _lists(values: list[np.ndarray | None]) -> pa.Array:
+    there = [v for v in values if v is not None]
+    ends = np.cumsum([0, *(0 if v is None else len(v) for v in values)], dtype=np.int32)
+    flat = np.concatenate(there).view(np.int64) if there else np.empty(0, np.int64)
+    missing = pa.array([v is None for v in values], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()), mask=missing)
 
 
 def _set_id(s: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
 
 
-def long_lists(docs: DataFrame, k: int, t: int, bound: int = LONG_LIST) -> np.ndarray:
-    """Hashes of shingles in more than ``bound`` documents, among twice as many of each document's least hashes as are merged."""
-
-    def zone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            sets = [shingle_set(x, k) for x in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([_lists([s[: 2 * prefix_length(len(s), t)] if len(s) else s for s in sets])], ["h"])
-
-    counts = docs.select(text_bytes().alias("text")).mapInArrow(zone, "h array<bigint>").select(F.explode("h").alias("h")).groupBy("h").count().filter(F.col("count") > bound)
-    counts = written(counts, "long-lists")
-    by_size = counts.groupBy(F.floor(F.log2("count")).alias("k")).count().collect()
-    while sum(r["count"] for r in by_size if 2 ** r["k"] >= bound / 2) > MAX_LONG_LISTS:
-        bound *= 2
-    found = [r["h"] for r in counts.filter(F.col("count") > bound).select("h").collect()]
-    return np.sort(np.array(found, np.int64).view(np.uint64))
-
-
-def _postings(docs: DataFrame, k: int, t: int, skipped: np.ndarray) -> DataFrame:
-    """A row for each row of docs: doc_id, set id, set size, parity masks and the hashes of the lists it merges."""
+def shingled(docs: DataFrame, k: int, t: int) -> DataFrame:
+    """A row for each row of docs: doc_id, set id, set size, parity masks and counted part ``h``; the latter three once a task for equal sets, otherwise null."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for b in slices(batches):
             sets = [shingle_set(x, k) for x in b.column(1).to_pylist()]
-            merged = []
-            for s in sets:
-                if len(s) and len(skipped):
-                    at = np.minimum(np.searchsorted(skipped, s), len(skipped) - 1)
-                    s = s[np.argsort(skipped[at] == s, kind="stable")]
-                merged.append(s[: prefix_length(len(s), t)] if len(s) else s)
-            masks = np.array([parity_masks(s) for s in sets]).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(_set_id, sets), pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(masks[:, 0]), pa.array(masks[:, 1]), _lists(merged)], ["doc_id", "sid", "n", "m1", "m2", "h"])
+            sids, new = [_set_id(s) for s in sets], []
+            for sid in sids:
+                new.append(sid is not None and sid not in seen)
+                seen.add(sid)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            masks = [parity_masks(s) if own else (None, None) for s, own in zip(sets, new)]
+            part = _lists([counted_part(s, t) if own else None for s, own in zip(sets, new)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(sids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([m[0] for m in masks], pa.int64()), pa.array([m[1] for m in masks], pa.int64()), part],
+                ["doc_id", "sid", "n", "m1", "m2", "h"],
+            )
 
     return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(made, "doc_id long, sid long, n long, m1 long, m2 long, h array<bigint>")
 
 
-def _needed(a: Column, b: Column, t: int) -> Column:
-    """Overlap that two sets of sizes a and b must have to link."""
-    return F.ceil(F.lit(t) * (a + b) / F.lit(100 + t))
+def merged_lists(rows: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
+    """sid, and as ``hs`` the shingles of its merged lists that other sets have too, for the sets that have any."""
+    # Of the same set in several tasks one row is taken.
+    again = written(nodes.filter("firsts > 1").select("sid", "keep"), "again")
+    first = rows.filter("h IS NOT NULL").join(F.broadcast(again) if small_enough(again, BROADCAST_IDS) else again, "sid", "left").filter("keep IS NULL OR keep = tag")
+    postings = first.select("sid", F.explode("h").alias("h"))
+    counts = written(postings.groupBy("h").count().filter("count > 1"), "counts")
+    shared = postings.join(counts, "h").groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("count", "h"))).alias("s"))
+    shared = shared.join(nodes.select("sid", "n", "counted"), "sid")
+    alone = F.col("counted") - F.size("s")
+    merged = F.col("n") - F.ceil(F.lit(t) * F.col("n") / 100) + 1
+    left = F.greatest(F.lit(0).cast("bigint"), merged - alone).cast("int")
+    out = written(shared.filter(left > 0).select("sid", F.slice("s.h", F.lit(1), left).alias("hs")), "merged")
+    discard(counts, again)
+    return out
 
 
 def _sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
@@ -146,19 +171,21 @@ def _sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFram
     nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     one = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     wanted = written(one.join(nodes, "sid").select("doc_id").filter("doc_id IS NOT NULL").distinct(), "wanted")
-    wanted = F.broadcast(wanted) if small_enough(wanted, BROADCAST_IDS) else wanted
+    near = F.broadcast(wanted) if small_enough(wanted, BROADCAST_IDS) else wanted
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [shingle_set(x, k) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(map(_set_id, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "members"])
 
-    texts = docs.select("doc_id", text_bytes().alias("text")).join(wanted, "doc_id", "left_semi").select("text")
-    return written(texts.mapInArrow(made, "sid long, members binary").filter("sid IS NOT NULL").dropDuplicates(["sid"]), "sets")
+    texts = docs.select("doc_id", text_bytes().alias("text")).join(near, "doc_id", "left_semi").select("text")
+    out = written(texts.mapInArrow(made, "sid long, members binary").filter("sid IS NOT NULL").dropDuplicates(["sid"]), "sets")
+    discard(wanted)
+    return out
 
 
 def confirmed(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int, t: int) -> DataFrame:
-    """The links among ``pairs(a, b)``: binary probes of the larger set with the smaller."""
+    """The links among ``pairs(a, b)``, which is discarded: binary probes of the larger set with the smaller."""
     sets = _sets(docs, ids, pairs, k)
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,58 +198,109 @@ def confirmed(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int, t: int)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = (sets.select(F.col("sid").alias(c), F.col("members").alias(m)) for c, m in (("a", "x"), ("b", "y")))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(probed, "a long, b long")
+    out = written(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(probed, "a long, b long"), "links")
+    discard(sets, pairs)
+    return out
 
 
-def jaccard_components(docs: DataFrame, shingle_words: int = 4, threshold: int = 85) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs(doc_id, text)``."""
-    k, t = shingle_words, threshold
-    rows = written(_postings(docs, k, t, long_lists(docs, k, t)), "merged-lists")
-    ids = rows.select("doc_id", "sid", "n")
+def star_pairs(lists: DataFrame, t: int, turn: int) -> DataFrame:
+    """Documents and the pivots, among those of their lists, that they meet most and aren't connected with."""
+    size = F.floor(F.log("n") / F.lit(float(np.log(100 / t)))).alias("size")
+    at = [] if turn == 0 else [F.xxhash64("sid", F.lit(turn)).alias("at")]
+    most = F.struct("weight", *at, "sid", "m1", "m2", "n", "component")
+    pivots = lists.groupBy("h", size).agg(F.max(most).alias("p"), F.count("*").alias("m")).filter("m > 1")
+    pivots = pivots.select("h", "size", *(F.col(f"p.{c}").alias("p" + c) for c in ("sid", "n", "m1", "m2", "component")))
+    met = lists.select("h", size, "sid", "n", "m1", "m2", "component").join(pivots, ["h", "size"]).filter(F.col("component") != F.col("pcomponent")).filter(may_link("", "p", t))
+    met = met.groupBy("sid", "psid").agg(F.count("*").alias("c"))
+    best = F.slice(F.sort_array(F.collect_list(F.struct("c", "psid")), False), 1, TRIED)
+    star = met.groupBy("sid").agg(best.alias("best")).select("sid", F.explode("best.psid").alias("psid"))
+    return star.select(F.least("sid", "psid").alias("a"), F.greatest("sid", "psid").alias("b")).distinct()
+
+
+def heap_pairs(lists: DataFrame, t: int) -> DataFrame:
+    """Pairs of documents of different components that meet in enough of ``lists``, which is to hold every list's whole members."""
+    main = lists.groupBy("h", "component").count().groupBy("h").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    lists = written(lists.join(main, "h").withColumn("own", F.col("component") == F.col("main")), "divided")
+
+    # Blocks of lists, and documents outside of a list's largest component, which look through them.
+    blocks = F.ceil(F.col("size") / BLOCK)
+    member = F.struct("sid", "n", "m1", "m2", "component")
+    arrays = lists.groupBy("h", "own", F.pmod(F.xxhash64("sid"), blocks).alias("block")).agg(F.collect_list(member).alias("list")).select("h", "own", "list")
+    few = F.ceil(F.sum("size") / MERGED).alias("parts")
+    seekers = lists.filter("NOT own").select("h", "sid", "n", "m1", "m2", "component")
+    seekers = seekers.join(lists.groupBy("sid").agg(few), "sid").select("h", *(F.col(c).alias("x" + c) for c in ("sid", "n", "m1", "m2", "component")), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
+
+    def near(y: Column) -> Column:
+        bits = F.bit_count(F.col("xm1").bitwiseXOR(y["m1"])) + F.bit_count(F.col("xm2").bitwiseXOR(y["m2"]))
+        alike = (F.least("xn", y["n"]) * 100 >= F.greatest("xn", y["n"]) * t) & (bits <= F.col("xn") + y["n"] - 2 * _needed(F.col("xn"), y["n"], t))
+        turn = F.col("own") | (y["sid"] < F.col("xsid"))
+        return turn & (y["component"] != F.col("xcomponent")) & alike & (F.pmod(F.xxhash64(y["sid"]), F.col("parts")) == F.col("part"))
+
+    run = F.array_sort(F.transform(F.filter("list", near), lambda y: F.struct(y["sid"], y["n"])))
+    runs = seekers.join(arrays, "h").select("xsid", "xn", "part", F.explode(F.filter(F.array(run), lambda r: F.size(r) > 0)).alias("run"))  # without the empty ones
+    runs = runs.groupBy("xsid", "xn", "part").agg(F.collect_list("run").alias("runs")).select("xsid", "xn", "runs")
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out: list[tuple[int, int]] = []
+            for own, n, mine in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
+                flat = mine.values
+                ends = flat.offsets.to_pylist()
+                members = flat.flatten()
+                sids, sizes = (members.field(i).to_pylist() for i in range(2))
+                size_of = dict(zip(sids, sizes))
+                first = ends[0]
+                for sid, run in groupby(heapq.merge(*(sids[a - first : b - first] for a, b in zip(ends, ends[1:])))):
+                    if sum(1 for _ in run) >= least_met(n, size_of[sid], t):
+                        out.append((min(sid, own), max(sid, own)))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return runs.mapInArrow(merged, "a long, b long")
 
-    sets = written(rows.filter("sid IS NOT NULL").groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "m1", "m2", "h")), F.count("*").alias("weight")), "nodes")
-    lists = sets.select(F.explode("h").alias("h"), "sid")
-    shared = lists.groupBy("h").count().filter("count > 1").select("h")
-    lists = lists.join(shared, "h").join(sets.select(*MEMBER, "weight"), "sid").select("h", *MEMBER, "weight")
-    lists = written(lists, "lists").withColumn("component", F.col("sid"))
 
-    # Pass one: each list's documents of like size meet a pivot, and those that lie in other components than theirs are tried.
-    size = F.floor(F.log("n") / F.lit(float(np.log(100 / t)))).alias("size")
-    links = None
+def jaccard_components(docs: DataFrame, shingle_words: int = 4, threshold: int = 85) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs(doc_id, text)``."""
+    with tidy_shuffles(docs.sparkSession):
+        return _components(docs, shingle_words, threshold)
+
+
+def _components(docs: DataFrame, k: int, t: int) -> DataFrame:
+    rows = written(shingled(docs, k, t).withColumn("tag", F.monotonically_increasing_id()), "shingled")
+    ids = written(rows.select("doc_id", "sid", "n"), "ids")
+    there = F.col("h").isNotNull()
+    nodes = rows.filter("sid IS NOT NULL").groupBy("sid").agg(
+        *(F.max(c).alias(c) for c in ("n", "m1", "m2")), F.max(F.size("h")).alias("counted"), F.count("*").alias("weight"), F.min(F.when(there, F.col("tag"))).alias("keep"), F.count("h").alias("firsts")
+    )
+    nodes = written(nodes, "nodes")
+    merged = merged_lists(rows, nodes, t)
+    discard(rows)
+
+    lists = merged.select("sid", F.explode("hs").alias("h"))
+    sizes = written(lists.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    own = nodes.select("sid", "n", "m1", "m2", "weight").withColumn("component", F.col("sid"))
+    lists = written(lists.join(sizes, "h").join(own, "sid"), "lists")
+    discard(merged, sizes)
+
+    # Pass one: most of each group is connected by pivots.
+    links = labels = None
     for turn in range(ROUNDS):
-        at = [] if turn == 0 else [F.xxhash64("sid", F.lit(turn)).alias("at")]
-        most = F.struct("weight", *at, "sid", "m1", "m2", "n", "component")
-        pivots = lists.groupBy("h", size).agg(F.max(most).alias("p"), F.count("*").alias("m")).filter("m > 1")
-        pivots = pivots.select("h", "size", *(F.col(f"p.{c}").alias("p" + c) for c in (*MEMBER, "component")))
-        met = lists.select("h", size, *MEMBER, "component").join(pivots, ["h", "size"]).filter(F.col("component") != F.col("pcomponent")).filter(may_link("", "p", t))
-        met = met.groupBy("sid", "psid").agg(F.count("*").alias("c"))
-        best = F.slice(F.sort_array(F.collect_list(F.struct("c", "psid")), False), 1, TRIED)
-        star = met.groupBy("sid").agg(best.alias("best")).select("sid", F.explode("best.psid").alias("psid"))
-        star = star.select(F.least("sid", "psid").alias("a"), F.greatest("sid", "psid").alias("b")).distinct()
-        more = written(confirmed(docs, ids, written(star, "pairs"), k, t), "links")
+        more = confirmed(docs, ids, written(star_pairs(lists, t, turn), "pairs"), k, t)
+        if turn and more.isEmpty():
+            break
         links = more if links is None else links.union(more)
         labels = components(links)
         degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
         known = labels.join(degrees, "node").select(F.col("node").alias("sid"), F.col("component").alias("c"), "degree")
-        weight = (F.col("weight") + F.coalesce("degree", F.lit(0))).alias("weight")
-        lists = written(lists.join(known, "sid", "left").select("h", *MEMBER, weight, F.coalesce("c", "component").alias("component")), "labelled")
+        new = lists.join(known, "sid", "left").withColumn("weight", F.col("weight") + F.coalesce("degree", F.lit(0))).withColumn("component", F.coalesce("c", "component"))
+        kept, lists = lists, written(new.select(*lists.columns), "labelled")
+        discard(kept)
 
     # Pass two: what lies in different components.
-    main = lists.groupBy("h", "component").count().groupBy("h").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("m")).filter("m > 1").select("h", "main")
-    mixed = lists.select("h", *MEMBER, "component").join(main, "h")
-    x, y = _named(mixed.filter("component <> main"), "x", "component"), _named(mixed, "y", "component", "main").withColumnRenamed("h", "yh")
-    apart = (F.col("xcomponent") != F.col("ycomponent")) & ((F.col("ycomponent") == F.col("ymain")) | (F.col("xsid") < F.col("ysid")))
-    pairs = x.join(y, (F.col("h") == F.col("yh")) & apart & may_link("x", "y", t))
-    pairs = pairs.select(F.least("xsid", "ysid").alias("a"), F.greatest("xsid", "ysid").alias("b"), F.least("xn", "yn").alias("p"), F.greatest("xn", "yn").alias("q"))
-    pairs = pairs.groupBy("a", "b", "p", "q").agg(F.count("*").alias("c"))
-
-    def merged_at_least(n: Column) -> Column:
-        return n - F.ceil(F.lit(t) * n / 100) + 1 - (n - _needed(F.col("p"), F.col("q"), t))
-
-    pairs = pairs.filter(F.col("c") >= F.least(merged_at_least(F.col("p")), merged_at_least(F.col("q"))))
-    more = written(confirmed(docs, ids, written(pairs.select("a", "b"), "pairs"), k, t), "links")
+    mixed = lists.groupBy("h").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p <> q").select("h")
+    more = confirmed(docs, ids, written(heap_pairs(lists.join(mixed, "h"), t).distinct(), "pairs"), k, t)
     if not more.isEmpty():
         labels = components(links.union(more))
+    discard(lists)
 
     # A component's name is its smallest document.
     known = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
