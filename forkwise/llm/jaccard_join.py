@@ -33,9 +33,9 @@ Documents with equal sets are one node throughout. Shingles and sets are identif
 Defined cases: A-Z is lower-cased and words are runs other than space and tab to carriage
 return; a text of fewer words than a shingle has its whole word sequence as the one
 shingle; null, empty and wordless texts have no shingles, link with nothing and have their
-own id as component. Repeated rows are copies. A null id never names a component of others;
-such a row takes part only as a copy of a row with an id. An empty table gives an empty
-result. Other columns are ignored.
+own id as component. Repeated rows are copies. Rows with null ids take part, but a null id
+never names a component that has another. An empty table gives an empty result. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,6 +49,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import components, discard, slices, small_enough, text_bytes, tidy_shuffles, written
 
@@ -168,19 +169,24 @@ def merged_lists(rows: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
 
 def _sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """The whole shingle sets of the documents in ``pairs``."""
-    nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    one = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    wanted = written(one.join(nodes, "sid").select("doc_id").filter("doc_id IS NOT NULL").distinct(), "wanted")
-    near = F.broadcast(wanted) if small_enough(wanted, BROADCAST_IDS) else wanted
+    nodes = written(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "wanted")
+    one = ids.join(nodes, "sid").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    one = written(one.select("doc_id").distinct(), "wanted")
+    near = F.broadcast(one) if small_enough(one, BROADCAST_IDS) else one
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [shingle_set(x, k) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(map(_set_id, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "members"])
 
-    texts = docs.select("doc_id", text_bytes().alias("text")).join(near, "doc_id", "left_semi").select("text")
-    out = written(texts.mapInArrow(made, "sid long, members binary").filter("sid IS NOT NULL").dropDuplicates(["sid"]), "sets")
-    discard(wanted)
+    texts = docs.select("doc_id", text_bytes().alias("text"))
+    found = texts.join(near.filter("doc_id IS NOT NULL"), "doc_id", "left_semi").select("text")
+    if not one.filter("doc_id IS NULL").isEmpty():  # sets that only rows without an id have
+        found = found.union(texts.filter("doc_id IS NULL").select("text"))
+    found = found.mapInArrow(made, "sid long, members binary").filter("sid IS NOT NULL")
+    found = found.join(F.broadcast(nodes) if small_enough(nodes, BROADCAST_IDS) else nodes, "sid", "left_semi")
+    out = written(found.dropDuplicates(["sid"]), "sets")
+    discard(nodes, one)
     return out
 
 
@@ -260,11 +266,50 @@ def heap_pairs(lists: DataFrame, t: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, shingle_words: int = 4, threshold: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs(doc_id, text)``."""
+    groups = jaccard_groups(docs, shingle_words, threshold)
+    names = written(groups.filter("sid IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id")), "names")
+    named = groups.join(names, "component", "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def jaccard_groups(docs: DataFrame, shingle_words: int, threshold: int) -> DataFrame:
+    """doc_id, set id, set size and component (a set id) of every row of ``docs(doc_id, text)``; without shingles both ids are null."""
     with tidy_shuffles(docs.sparkSession):
-        return _components(docs, shingle_words, threshold)
+        return _groups(docs, shingle_words, threshold)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, shingle_words: int) -> DataFrame:
+    """The rows of ``docs`` without those that have a row of smaller id in their component; rows without shingles all stay.
+
+    Rows are told apart by id and set, so that ids may be null or occur more than once. Of
+    rows that have both in common one stays.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            sids = [_set_id(shingle_set((t or "").encode(), shingle_words)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(b.columns, b.schema.names), pa.array(sids, pa.int64())], ["row", "sid"])
+
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "sid")
+    there = groups.filter("sid IS NOT NULL").groupBy("doc_id", "sid", "component").agg(F.count("*").alias("copies"))
+    kept = there.groupBy("component").agg(F.min(first).alias("first"))
+    judged = written(there.join(kept, "component").select(F.col("doc_id").alias("id"), "sid", "copies", (F.col("first") == first).alias("stays")), "judged")
+
+    def at_hand(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if small_enough(rows, BROADCAST_IDS) else rows
+
+    gone, again = judged.filter("NOT stays").select("id", "sid"), judged.filter("stays AND copies > 1").select("id", "sid")
+    rows = docs.mapInArrow(made, StructType([StructField("row", docs.schema), StructField("sid", LongType())]))
+    same = (F.col("row.doc_id").eqNullSafe(F.col("id"))) & (rows["sid"] == F.col("other"))
+    rows = rows.join(at_hand(gone.withColumnRenamed("sid", "other")), same, "left_anti")
+    if again.isEmpty():
+        return rows.select("row.*")
+    more = at_hand(again.withColumnRenamed("sid", "other"))
+    once = rows.join(more, same, "left_semi").withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "sid"]).drop("id")
+    return rows.join(more, same, "left_anti").unionByName(once).select("row.*")
 
 
-def _components(docs: DataFrame, k: int, t: int) -> DataFrame:
+def _groups(docs: DataFrame, k: int, t: int) -> DataFrame:
     rows = written(shingled(docs, k, t).withColumn("tag", F.monotonically_increasing_id()), "shingled")
     ids = written(rows.select("doc_id", "sid", "n"), "ids")
     there = F.col("h").isNotNull()
@@ -302,9 +347,5 @@ def _components(docs: DataFrame, k: int, t: int) -> DataFrame:
         labels = components(links.union(more))
     discard(lists)
 
-    # A component's name is its smallest document.
-    known = ids.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    known = known.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    names = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = written(known.join(names, "component").select("sid", "component_id"), "named")
-    return ids.join(named, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = nodes.select("sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("component", "sid").alias("component"))
+    return ids.join(named, "sid", "left").select("doc_id", "sid", "n", "component")

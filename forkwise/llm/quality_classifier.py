@@ -10,7 +10,9 @@ their id, and at most ``max_pairs`` pairs; scoring covers every row.
 
 Defined cases: null text is empty and scored like one; with no labels, or labels of one
 class only, every score is 0.5. Labels that are null or whose document is missing are left
-out. Repeated and null ids get their own rows. Empty tables give empty results.
+out; of several labels of one id the lower counts. Rows with null ids are scored and teach
+nothing; repeated ids get their own rows. Documents of equal statistics have equal scores.
+Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import slices, text_bytes
 
 MAX_LABELLED = 20_000
 MAX_PAIRS = 60_000
@@ -121,8 +123,19 @@ def classify(docs: DataFrame, ranker: Ranker) -> DataFrame:
     """doc_id and score of every row of ``docs(doc_id, text)``."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             x = np.array([features(t) for t in b.column("text").to_pylist()]).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ranker.scores(x), pa.float64())], ["doc_id", "score"])
 
     return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(scored, "doc_id long, score double")
+
+
+def kept_documents(docs: DataFrame, ranker: Ranker) -> DataFrame:
+    """The rows of ``docs`` that score 0.5 or more, with all their columns."""
+
+    def sifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            x = np.array([features((t or "").encode()) for t in b.column("text").to_pylist()]).reshape(-1, N_FEATURES)
+            yield b.filter(pa.array(ranker.scores(x) >= 0.5, pa.bool_()))
+
+    return docs.mapInArrow(sifted, docs.schema)

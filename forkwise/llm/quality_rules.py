@@ -95,10 +95,19 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint),
     base_failed, kept, n_grams, llr_scaled.
     """
+    return _judged(docs, F.col("doc_id"), "doc_id", weights, threshold)
+
+
+def kept_documents(docs: DataFrame, weights: list[int], threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    return _judged(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "row", weights, threshold).filter("kept").select("row.*")
+
+
+def _judged(docs: DataFrame, carried: Column, name: str, weights: list[int], threshold: int) -> DataFrame:
     buckets = len(weights)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), words_of(F.col("text")).alias("words"))
+    rows = docs.select(carried.alias(name), text.alias("text"), words_of(F.col("text")).alias("words"))
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
 
     def windows(v: Column) -> Column:
@@ -106,7 +115,7 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
         return F.slice(each, 1, F.greatest(F.lit(0), F.size(v) - 4))
 
     rows = rows.select(
-        "doc_id",
+        name,
         F.size("words").alias("n_words"),
         F.char_length(F.array_join("words", "")).alias("word_chars"),
         (F.char_length("text") - F.char_length(F.regexp_replace("text", SYMBOLS, ""))).alias("n_symbols"),
@@ -118,7 +127,7 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
     grams = let(F.col("h"), lambda h: buckets_of(h, buckets))
     score = F.aggregate(grams, F.lit(0).cast("bigint"), lambda acc, x: acc + F.coalesce(F.get(table, x), F.lit(0)))
     rows = rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols",
+        name, "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         let(F.col("win"), repeat_words).alias("n_repeat_words"),
         F.greatest(F.lit(0), 2 * F.size("h") - 1).cast("bigint").alias("n_grams"),
@@ -127,6 +136,6 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     good = F.col("llr_scaled") >= F.lit(threshold) * F.col("n_grams")
     return rows.select(
-        "doc_id", *(F.col(c).cast("bigint").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        name, *(F.col(c).cast("bigint").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
         failed.alias("base_failed"), (~failed & good).alias("kept"), "n_grams", "llr_scaled",
     )
