@@ -5,11 +5,16 @@ indexes every vector. A query walks it best bin first: a priority queue holds no
 cosine of query and centroid, and leaves are visited as they come out of it. How many leaves
 is calibrated: for up to ``calibration`` queries the true neighbours are found by brute force
 over all vectors, and the visits are widened until ``recall`` of them lie in visited leaves.
+A query whose leaves hold too few vectors for ``k`` results visits further ones.
 
 Queries and vectors meet by leaf, in blocks of bounded size on both sides. Equal vectors are
 one entry that keeps its ``k + 1`` smallest ids, which is all that a query can ask of it, so
 that a vector repeated many times is compared once.
 
+Neighbours of equal score come by their ids. Scores are compared after exact cosines are
+taken; vectors are first scaled by powers of two, so that large and small components neither
+overflow nor vanish and the result stays the same.
+
 Defined cases: vectors that are null, zero, of another length than most of the sample or
 that hold null or non-finite components take no part, and neither do null ids. Repeated rows
 are one candidate. With fewer than ``k`` candidates a query gets all that are there. An empty
@@ -60,18 +65,19 @@ class Tree:
                 node[rows] = kids[np.argmax(x[rows] @ self.centroids[kids].T, axis=1)]
         return self.leaf_of[node]
 
-    def visits(self, x: np.ndarray, n: int) -> np.ndarray:
-        """The first ``n`` leaves of each unit vector, best bin first."""
-        out = np.empty((len(x), min(n, self.n_leaves)), np.int64)
-        for i, near in enumerate(x @ self.centroids.T):
-            queue, found = [(0.0, 0)], 0
-            while found < out.shape[1]:
+    def visits(self, x: np.ndarray, n: int, held: np.ndarray | None = None, least: int = 0) -> list[list[int]]:
+        """The first ``n`` leaves of each unit vector, best bin first, and further ones while they hold fewer than ``least``."""
+        out = []
+        for near in x @ self.centroids.T:
+            queue, found, n_held = [(0.0, 0)], [], 0
+            while queue and (len(found) < n or n_held < least):
                 _, node = heapq.heappop(queue)
-                if self.leaf_of[node] >= 0:
-                    out[i, found] = self.leaf_of[node]
-                    found += 1
+                if (leaf := int(self.leaf_of[node])) >= 0:
+                    found.append(leaf)
+                    n_held += 0 if held is None else int(held[leaf])
                 for c in self.children[node]:
                     heapq.heappush(queue, (-near[c], c))
+            out.append(found)
         return out
 
 
@@ -111,7 +117,13 @@ def fit(x: np.ndarray, branches: int = BRANCHES, leaf_sample: int = LEAF_SAMPLE,
     return Tree(np.array(centroids), children, np.array(leaf_of))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows multiplied by a power of two, so that the largest component is between 1/2 and 1."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -121,9 +133,28 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in double precision; equal rows give equal results wherever they stand."""
+    a, b = _scaled(a), _scaled(b)
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
+def best_of(a: np.ndarray, b: np.ndarray, first_ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of ``a`` the ``n`` rows of ``b`` of largest cosine, ties by ``first_ids``: rows of a, rows of b, scores."""
+    ua, ub, out = _unit(a), _unit(b).T, []
+    for at in range(0, len(a), 256):
+        near = ua[at : at + 256] @ ub
+        # The product is exact but for rounding; what may reach the n-th best is compared exactly.
+        least = np.partition(near, len(b) - n, axis=1)[:, len(b) - n] - 1e-9
+        i, j = np.nonzero(near >= least[:, None])
+        for part in range(0, len(i), 1 << 14):
+            x, y = i[part : part + (1 << 14)] + at, j[part : part + (1 << 14)]
+            out.append((x, y, cosines(a[x], b[y])))
+    i, j, score = (np.concatenate(x) for x in zip(*out))
+    order = np.lexsort((first_ids[j], -score, i))
+    i, j, score = i[order], j[order], score[order]
+    nth = np.arange(len(i)) - np.searchsorted(i, i)
+    return i[nth < n], j[nth < n], score[nth < n]
+
+
 def nearest(rows: DataFrame, query_every: int = 50, k: int = 5, sample: int = SAMPLE, recall: float = RECALL, calibration: int = CALIBRATION) -> DataFrame:
     """query_id, rank, vec_id and score for the queries, the rows of ``rows(vec_id, embedding)`` whose id ``query_every`` divides."""
     vector = F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0))
@@ -153,14 +184,17 @@ def nearest(rows: DataFrame, query_every: int = 50, k: int = 5, sample: int = SA
     asked = rows.filter(F.col("vec_id") % query_every == 0).select("vec_id", "key", "v").dropDuplicates(["vec_id", "key"])
     queries = written(asked.dropDuplicates(["key"]).select("key", "v"), "queries")
     n_visits = visits_needed(entries, queries, tree, dim, k, recall, calibration)
+    held = np.zeros(tree.n_leaves, np.int64)
+    for r in entries.groupBy("leaf").count().collect():  # the sample bounds the leaves
+        held[r["leaf"]] = r["count"]
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                leaves = tree.visits(_unit(_matrix(part.column("v"), dim)), n_visits)
-                i = pa.array(np.repeat(np.arange(len(leaves)), leaves.shape[1]))
-                yield pa.RecordBatch.from_arrays([part.column("key").take(i), part.column("v").take(i), pa.array(leaves.ravel(), pa.int64())], ["qkey", "q", "leaf"])
+                leaves = tree.visits(_unit(_matrix(part.column("v"), dim)), n_visits, held, k + 1)
+                i = pa.array(np.repeat(np.arange(len(leaves)), [len(x) for x in leaves]))
+                yield pa.RecordBatch.from_arrays([part.column("key").take(i), part.column("v").take(i), pa.array(np.concatenate(leaves), pa.int64())], ["qkey", "q", "leaf"])
 
     visits = written(queries.mapInArrow(walked, "qkey string, q array<double>, leaf long"), "visits")
 
@@ -175,13 +209,8 @@ def nearest(rows: DataFrame, query_every: int = 50, k: int = 5, sample: int = SA
         if not len(q) or not len(e):
             return pd.DataFrame({"qkey": [], "score": [], "ids": []})
         a, b = np.stack(q["q"].to_list()), np.stack(e["v"].to_list())
-        n = min(k + 1, len(b))
-        ua, ub, best = _unit(a), _unit(b).T, []
-        for at in range(0, len(a), 512):
-            best.append(np.argpartition(-(ua[at : at + 512] @ ub), n - 1, axis=1)[:, :n])
-        best = np.concatenate(best).ravel()
-        i = np.repeat(np.arange(len(a)), n)
-        return pd.DataFrame({"qkey": q["qkey"].to_numpy()[i], "score": cosines(a[i], b[best]), "ids": e["ids"].to_numpy()[best]})
+        i, j, score = best_of(a, b, e["ids"].str[0].to_numpy(), min(k + 1, len(b)))
+        return pd.DataFrame({"qkey": q["qkey"].to_numpy()[i], "score": score, "ids": e["ids"].to_numpy()[j]})
 
     found = left.groupBy("leaf", "bq", "be").cogroup(right.groupBy("leaf", "bq", "be")).applyInPandas(met, "qkey string, score double, ids array<bigint>")
     top = F.row_number().over(Window.partitionBy("qkey").orderBy(F.desc("score"), F.col("ids")[0]))
@@ -216,7 +245,7 @@ def visits_needed(entries: DataFrame, queries: DataFrame, tree: Tree, dim: int,
 
     top = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "leaf"))
     true = entries.select("key", "v", "leaf").mapInArrow(brute, "q long, score double, leaf long").filter("leaf >= 0").withColumn("nth", top).filter(F.col("nth") <= k).collect()
-    order = tree.visits(x, tree.n_leaves)
+    order = np.array(tree.visits(x, tree.n_leaves))
     at = np.empty_like(order)
     np.put_along_axis(at, order, np.arange(order.shape[1])[None], axis=1)
     needed = np.sort([at[r["q"], r["leaf"]] + 1 for r in true])
