@@ -1,89 +1,106 @@
 """Token counts of whole texts by overlap resynchronisation.
 
-A huge document is encoded in overlapping chunks with offsets. Two neighbouring chunks are
-spliced at a boundary in their overlap at which both begin a token and which is proven
-stable: a single space between two characters that aren't white space (see ``pieces``).
-Where the overlap holds none, it is widened, up to the whole rest of the document. Other
-documents are counted piece by piece between boundaries of the same kind.
-
-Defined cases: null text is empty and has no tokens. Repeated rows and null ids each give a
-row; empty tables give empty results; other columns are ignored.
+A document longer than a chunk is encoded in overlapping chunks with offsets. Two
+neighbouring chunks are spliced at a boundary in their overlap at which both begin a token
+and which is proven stable: a single space between two characters that aren't white space
+(see ``pieces``). Where the overlap holds none, it is widened, and where the whole chunk
+holds none, the chunk is. A document that fits into one chunk is that chunk. So no more than
+a chunk, or as much of a document as has no boundary, is encoded at a time.
+
+Defined cases: null text is empty and has no tokens; a text without any boundary becomes one
+chunk. Repeated rows and null ids each give a row; empty tables give empty results; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import PieceCache, in_parts, stable_pieces
+from .pieces import in_parts
 
-HUGE = 1 << 16
-CHUNK = 1 << 15
-OVERLAP = 1 << 9
+#: Characters.
+CHUNK = 1 << 12
+OVERLAP = 1 << 7
 
 _STABLE = re.compile(r"(?<=\S) (?=\S)")
 
 
-def common_boundary(text: str, a: list[int], a_from: int, b: list[int], b_from: int, lo: int, hi: int) -> int | None:
-    """A stable boundary of ``text[lo:hi]`` at which a token starts in both chunks; a and b are sorted token starts within them."""
+def token_from(encoding, at: int) -> int | None:
+    """The token that starts at a character of what was encoded."""
+    i = encoding.char_to_token(at)
+    return i if i is not None and encoding.token_to_chars(i)[0] == at else None
+
+
+def common_boundary(text: str, a, a_from: int, b, b_from: int, lo: int, hi: int) -> tuple[int, int, int] | None:
+    """The stable boundary of ``text[lo:hi]`` nearest to its middle at which both chunks start a token, and these tokens."""
     middle = (lo + hi) // 2
-    found = sorted((m.start() for m in _STABLE.finditer(text, lo, hi)), key=lambda p: abs(p - middle))
-    for p in found:
-        i, j = bisect_left(a, p - a_from), bisect_left(b, p - b_from)
-        if i < len(a) and a[i] == p - a_from and j < len(b) and b[j] == p - b_from:
-            return p
+    for p in sorted((m.start() for m in _STABLE.finditer(text, lo, hi)), key=lambda p: abs(p - middle)):
+        i, j = token_from(a, p - a_from), token_from(b, p - b_from)
+        if i is not None and j is not None:
+            return p, i, j
     return None
 
 
-def spliced_count(starts_of, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of ``text``; ``starts_of(part)`` gives the sorted offsets at which a part's tokens start."""
-    total, begin, counted, size = 0, 0, 0, chunk
-    here = starts_of(text[:size])
-    while begin + size < len(text):
-        end, back = begin + size, min(overlap, size)
+def spliced_count(encode: Callable, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
+    """Tokens of ``text``; ``encode(part)`` gives a part's tokens with offsets."""
+    total, begin, size = 0, 0, chunk
+    spliced, first = 0, 0  # where the tokens of this chunk begin to count
+    here = encode(text[:size])
+    while (end := begin + size) < len(text):
+        back = min(overlap, size)
         while True:
-            after = starts_of(text[end - back : end - back + max(chunk, 2 * back)])
-            p = common_boundary(text, here, begin, after, end - back, max(counted + 1, end - back + 1), end - 1)
-            if p is not None or back == size:
+            after = encode(text[end - back : end - back + max(chunk, 2 * back)])
+            found = common_boundary(text, here, begin, after, end - back, max(spliced, end - back) + 1, end - 1)
+            if found or back == size:
                 break
             back = min(2 * back, size)
-        if p is None:  # not even within the whole chunk: take a longer one
+        if found:
+            total += found[1] - first
+            begin, size, here = end - back, max(chunk, 2 * back), after
+            spliced, first = found[0], found[2]
+        else:
             size *= 2
-            here = starts_of(text[begin : begin + size])
-            continue
-        total += bisect_left(here, p - begin) - bisect_left(here, counted - begin)
-        begin, size, counted, here = end - back, max(chunk, 2 * back), p, after
-    return total + len(here) - bisect_left(here, counted - begin)
+            here = encode(text[begin : begin + size])
+            first = token_from(here, spliced - begin) if spliced else 0
+    return total + len(here) - first
 
 
-def token_counts(docs: DataFrame, path: str, huge: int = HUGE) -> DataFrame:
-    """doc_id, n_bytes and n_tokens of every row of ``docs(doc_id, text)``, as the tokenizers library counts them."""
+@lru_cache(maxsize=2)
+def loaded(path: str):
+    """The library's tokenizer; one a Python worker, whichever tasks it runs."""
+    import os
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        cache = PieceCache(lambda texts: [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
-        def starts_of(part: str) -> list[int]:
-            return [a for a, _ in tokenizer.encode(part, add_special_tokens=False).offsets]
+def token_counts(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """doc_id, n_bytes and n_tokens of every row of ``docs(doc_id, text)``, as the tokenizers library counts them."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = loaded(path)
+
+        def encode(part: str):
+            return tokenizer.encode(part, add_special_tokens=False)
 
         for batch in batches:
             at = 0
-            for part in in_parts([t or "" for t in batch.column(1).to_pylist()]):
-                pieces = [stable_pieces(t) if len(t) < huge else [""] for t in part]
-                cache.prepare(pieces)
-                counts = [sum(cache.look_up(p)) if len(t) < huge else spliced_count(starts_of, t) for t, p in zip(part, pieces)]
+            for part in in_parts([t or "" for t in batch.column(1).to_pylist()], 1 << 18):
+                counts = [spliced_count(encode, t, chunk, overlap) if len(t) > chunk else 0 for t in part]
+                whole = [i for i, t in enumerate(part) if len(t) <= chunk]
+                for i, e in zip(whole, tokenizer.encode_batch_fast([part[i] for i in whole], add_special_tokens=False)):
+                    counts[i] = len(e)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array([len(t.encode()) for t in part], pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
                 at += len(part)
 

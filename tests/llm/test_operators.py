@@ -45,12 +45,24 @@ def test_bpe_and_counts(spark):
     want = sorted((str(i), e.ids, t.decode(e.ids, skip_special_tokens=False)) for i, e in zip((r[0] for r in rows), t.encode_batch([r[1] or "" for r in rows], add_special_tokens=False)))
     got = bpe.decode(bpe.encode(frame(spark, rows), path), path).collect()
     assert sorted((str(r.doc_id), r.ids, r.decoded) for r in got) == want
-    for huge in (1 << 16, 500):
-        counts = token_counts.token_counts(frame(spark, rows), path, huge).collect()
+    for chunk, overlap in ((token_counts.CHUNK, token_counts.OVERLAP), (60, 4)):
+        counts = token_counts.token_counts(frame(spark, rows), path, chunk, overlap).collect()
         assert sorted((str(r.doc_id), r.n_tokens) for r in counts) == sorted((i, len(x)) for i, x, _ in want)
     assert bpe.encode(frame(spark, []), path).count() == token_counts.token_counts(frame(spark, []), path).count() == 0
 
 
+def test_spliced_counts():
+    """Chunks and overlaps so small that boundaries are often missing, in texts of odd white space, scripts and special strings."""
+    t = library("byte_bpe_50k.json")
+    rng = random.Random(6)
+    parts = [" ", "  ", "\n", " \t ", "word", "naïve", "漢字", "it's", "<|endoftext|>", "e\u0301", "\u00a0", "\u3000", "12,345", "!!", "🙂", "x" * 40]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 80)))
+        want = len(t.encode(text, add_special_tokens=False))
+        for chunk, overlap in ((8, 2), (20, 6), (64, 16)):
+            assert token_counts.spliced_count(lambda p: t.encode(p, add_special_tokens=False), text, chunk, overlap) == want, text
+
+
 def test_packing(spark):
     rows = [*ODD, *((100 + i, words(10 + 37 * i % 900, i)) for i in range(60)), (500, words(5000, 7))]
     path = str(public_tokenizers.path("word_bpe_49k.json"))
@@ -161,6 +173,45 @@ def test_nearest(spark):
     assert neighbours.nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_nearest_ties_and_odd_rows(spark):
+    """Parallel, repeated and huge vectors, few candidates, null ids and other lengths, against brute force."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(-8, 9, size=8).astype(float)
+    rows = [(0, base.tolist()), *((i, (base * 2.0 ** (i % 7 - 3)).tolist()) for i in range(1, 31)), (31, base.tolist()), (31, base.tolist()), (None, base.tolist()), (32, [1.0, 2.0])]
+    rows += [(40 + i, rng.normal(size=8).tolist()) for i in range(20)]
+    rows += [(100, [1e200, -1e200] + [0.0] * 6), (150, [1e-200, 2e-200] + [0.0] * 6)]
+    schema = "vec_id long, embedding array<double>, key string, leaf long, dim long"
+    data = spark.createDataFrame([(*r, "k", 1, 2) for r in rows], schema)
+    exact = {}
+    usable = sorted({(i, tuple(v)) for i, v in rows if i is not None and len(v) == 8})
+
+    def cosine(a, b):
+        a, b = (np.ldexp(np.array(x), -np.frexp(np.abs(x).max())[1]) for x in (a, b))
+        return float((a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())))
+
+    for q, v in usable:
+        if q % 50 == 0:
+            exact[q] = sorted((-cosine(v, w), i) for i, w in usable if i != q)[:5]
+    got = defaultdict(list)
+    for r in neighbours.nearest(data).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((-r.score, r.vec_id))
+    assert {q: [i for _, i in x] for q, x in got.items()} == {q: [i for _, i in x] for q, x in exact.items()}
+    assert [i for _, i in got[0]] == [1, 2, 3, 4, 5]
+    assert all(abs(a - b) < 1e-12 for q in exact for (a, _), (b, _) in zip(got[q], exact[q]))
+    few = neighbours.nearest(data.filter("vec_id IN (0, 1, 2)")).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in few) == [(0, 1, 1), (0, 2, 2)]
+
+
+def test_visits_go_on_while_leaves_hold_too_few():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 6))
+    tree = neighbours.fit(neighbours._unit(x))
+    held = np.ones(tree.n_leaves, np.int64)
+    for leaves in tree.visits(neighbours._unit(x[:20]), 1, held, 6):
+        assert len(leaves) == len(set(leaves)) == 6
+    assert all(sorted(v) == list(range(tree.n_leaves)) for v in tree.visits(neighbours._unit(x[:3]), 10**6))
+
+
 def test_warc_round_trip(spark):
     big = "<p>" + words(60_000, 5)
     rows = [(1, "http://a/ü", big), (2, None, big), (3, "http://b", None), (4, "u", "short"), (5, "u", "short"), (None, "u", big)]
