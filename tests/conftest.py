@@ -9,6 +9,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # small matrices are not worth threads
 
 
 @pytest.fixture(scope="session")
