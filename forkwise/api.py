@@ -39,6 +39,14 @@ class ChainApi:
             receipts = receipts.filter(F.col("block_number") <= cursors.latest(self.store.read("stage_checkpoints")).collect()[0]["compacted_until"])
         return proofs.proof_by_tx_hash(receipts, self.store.canonical_blocks(), tx_hash)
 
+    def cursors(self) -> DataFrame:
+        """One row of all cursors, those of the stream and of the index side."""
+        return cursors.merged(self.store.read("stream_checkpoints"), self.store.read("stage_checkpoints"))
+
+    def finished_height(self) -> int:
+        """Height that the stream's source may forget up to; rollbacks lower it."""
+        return cursors.latest(self.store.read("stream_checkpoints")).collect()[0]["finished_height"]
+
     def health(self) -> dict:
         return {"status": "ok"}
 

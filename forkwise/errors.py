@@ -21,3 +21,7 @@ class BadRequest(ApiError):
 
 class Corrupt(ApiError):
     """Stored data contradict each other."""
+
+
+class Quarantined(RuntimeError):
+    """A batch of the log that can't be taken in; its store has a quarantine row for each cause."""

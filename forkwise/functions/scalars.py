@@ -95,6 +95,10 @@ def fork_hash(number: Column, fork: Column) -> Column:
     return F.concat(F.lit("0x"), F.lower(F.lpad(F.hex(number.cast("bigint")), 16, "0")), F.lower(F.lpad(F.hex(fork.cast("bigint")), 2, "0")), F.lit("0" * 46))
 
 
+def block_key(block_hash: Column) -> Column:
+    return F.to_json(F.struct(block_hash.alias("block_hash")))
+
+
 def account_key(block_hash: Column, address: Column) -> Column:
     return F.to_json(F.struct(block_hash.alias("block_hash"), address.alias("address")))
 

@@ -55,11 +55,16 @@ def steps(events: DataFrame, span: int = RANGE) -> DataFrame:
     A rollback's block is its base; a finish, after each notification that commits, has the
     highest committed block.
     """
-    back = fold.rollback_bases(events).select("seq", F.lit(ROLLBACK).alias("step"), F.col("base").alias("block_number"))
+    return steps_of(events, fold.rollback_bases(events)).withColumn("range", F.floor(F.col("seq") / span))
+
+
+def steps_of(events: DataFrame, bases: DataFrame) -> DataFrame:
+    """``steps`` of events whose rollbacks' bases are known."""
+    back = bases.select("seq", F.lit(ROLLBACK).alias("step"), F.col("base").alias("block_number"))
     new = events.filter("event = 'active'")
     commit = new.select("seq", F.lit(COMMIT).alias("step"), "block_number").distinct()
     finish = new.groupBy("seq").agg(F.max("block_number").alias("block_number")).select("seq", F.lit(FINISH).alias("step"), "block_number")
-    return back.unionByName(commit).unionByName(finish).withColumn("range", F.floor(F.col("seq") / span))
+    return back.unionByName(commit).unionByName(finish)
 
 
 def timeline(events: DataFrame, span: int = RANGE) -> DataFrame:
@@ -79,12 +84,19 @@ def timeline(events: DataFrame, span: int = RANGE) -> DataFrame:
     return rows.select("seq", "step", name.alias("operation"), "block_number", streaming.alias("streaming"), streaming.alias("durable"), streaming.alias("canonical_tip"), F.col("finished_height").cast("bigint").alias("finished_height"))
 
 
+def _id(seq: Column, step: Column, block_number: Column) -> Column:
+    return (seq * F.lit(1 << 32) + step * F.lit(1 << 31) + block_number).cast("bigint").alias("id")
+
+
+def seq_of(point_id: Column) -> Column:
+    return F.shiftright(point_id, 32)
+
+
 def checkpoints(events: DataFrame, span: int = RANGE) -> DataFrame:
     """The stream's checkpoint after each commit and rollback; ids follow the order of the log."""
     rows = timeline(events, span).filter(F.col("step") != FINISH)
-    key = (F.col("seq") * F.lit(1 << 32) + F.col("step") * F.lit(1 << 31) + F.col("block_number")).alias("id")
     zero = F.lit(0).cast("bigint")
-    return rows.select(key, "streaming", "durable", zero.alias("compacted_until"), zero.alias("proof_indexed_until"), "canonical_tip", "finished_height")
+    return rows.select(_id(F.col("seq"), F.col("step"), F.col("block_number")), "streaming", "durable", zero.alias("compacted_until"), zero.alias("proof_indexed_until"), "canonical_tip", "finished_height")
 
 
 def latest(points: DataFrame) -> DataFrame:
@@ -93,6 +105,25 @@ def latest(points: DataFrame) -> DataFrame:
     return last.select(*(F.coalesce(F.col(f"c.{c}"), F.lit(0)).cast("bigint").alias(c) for c in schemas.STAGE_CHECKPOINTS.fieldNames()))
 
 
+def advanced(point: DataFrame, later: DataFrame) -> DataFrame:
+    """The checkpoint after the ``later`` steps, which all follow those that ``point``, one row, stands for.
+
+    As cursors are maxima and minima since their last reset, one pass over the steps gives
+    the resets and a second what came after them.
+    """
+    at, one = F.struct("seq", "step", "block_number"), F.lit(0).alias("_one")
+    resets = later.agg(F.max(F.when(F.col("step") == ROLLBACK, at)).alias("back"), F.max(F.when(F.col("step") == FINISH, at)).alias("end"), F.max(F.when(F.col("step") != FINISH, at)).alias("last"), one)
+    since = later.withColumn("_one", F.lit(0)).join(F.broadcast(resets), "_one")
+    moved = F.when((F.col("step") != FINISH) & (F.col("back").isNull() | (at >= F.col("back"))), F.col("block_number"))
+    kept = F.when((F.col("step") != COMMIT) & (F.col("end").isNull() | (at >= F.col("end"))), F.col("block_number"))
+    tops = since.groupBy("_one").agg(F.max(moved).alias("top"), F.min(kept).alias("low"))
+    rows = latest(point).withColumn("_one", F.lit(0)).join(F.broadcast(resets), "_one").join(F.broadcast(tops), "_one", "left")
+    streaming = F.when(F.col("back").isNull(), F.greatest("streaming", "top")).otherwise(F.col("top"))
+    finished = F.when(F.col("end").isNull(), F.least("finished_height", "low")).otherwise(F.col("low"))
+    new_id = F.coalesce(_id(F.col("last.seq"), F.col("last.step"), F.col("last.block_number")), F.col("id"))
+    return rows.select(new_id.alias("id"), *(x.cast("bigint").alias(n) for n, x in (("streaming", streaming), ("durable", streaming), ("compacted_until", F.lit(0)), ("proof_indexed_until", F.lit(0)), ("canonical_tip", streaming), ("finished_height", finished))))
+
+
 def on_restart(points: DataFrame) -> DataFrame:
     """Cursors as a restarted stream has them: what wasn't durable is streamed again."""
     return latest(points).withColumn("streaming", F.col("durable"))
@@ -110,6 +141,3 @@ def consistent() -> Column:
     """proof <= compacted <= durable <= streaming."""
     return (F.col("proof_indexed_until") <= F.col("compacted_until")) & (F.col("compacted_until") <= F.col("durable")) & (F.col("durable") <= F.col("streaming"))
 
-
-def clamped(cursor: Column, base: Column) -> Column:
-    return F.least(cursor, base)

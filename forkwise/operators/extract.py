@@ -27,14 +27,16 @@ def changes_of(log: DataFrame) -> DataFrame:
 
 
 def receipts_of(log: DataFrame) -> DataFrame:
-    rows = committed(log).select("block_number", "block_hash", F.posexplode("receipts").alias("tx_index", "r"))
-    return rows.select("block_number", "block_hash", "tx_index", "r.tx_hash", "r.status", "r.cumulative_gas_used")
+    """A row for each receipt of each committed block.
 
-
-def zipped(transactions: str, outcomes: str) -> F.Column:
-    """Pairs of two arrays by position; what the longer one has beyond the shorter is left out."""
-    n = F.least(F.size(transactions), F.size(outcomes))
-    return F.arrays_zip(F.slice(transactions, 1, n), F.slice(outcomes, 1, n))
+    Transactions and receipts are paired by position; what the longer list has beyond the
+    shorter is left out. Where there are no transactions, receipts bring their own hashes.
+    """
+    n = F.coalesce(F.least(F.size("transactions"), F.size("receipts")), F.size("receipts"))
+    hashes = F.coalesce(F.col("transactions"), F.transform("receipts", lambda r: r["tx_hash"]))
+    pairs = F.arrays_zip(F.slice(hashes, 1, n).alias("tx_hash"), F.slice("receipts", 1, n).alias("r"))
+    rows = committed(log).filter("receipts IS NOT NULL").select("block_number", "block_hash", F.posexplode(pairs).alias("tx_index", "p"))
+    return rows.select("block_number", "block_hash", "tx_index", "p.tx_hash", "p.r.status", "p.r.cumulative_gas_used", "p.r.tx_type", "p.r.logs_rlp", "p.r.log_bloom")
 
 
 def account_diffs(changes: DataFrame) -> DataFrame:
@@ -58,27 +60,49 @@ def storage_diffs(slots: DataFrame) -> DataFrame:
 
 
 def receipt_artifacts(receipts: DataFrame) -> DataFrame:
-    """Artifacts with the encoded receipt and an empty bloom; see ``proofs.anchored`` for the root."""
-    zeros = X.bloom(F.lit(None).cast("binary"))
+    """Artifacts with the encoded receipt; see ``proofs.anchored`` for the root. Type, logs and bloom may be missing: legacy, none, empty."""
+    there = receipts.columns
+    bloom = F.col("log_bloom") if "log_bloom" in there else F.lit(None).cast("binary")
+    logs = F.coalesce(F.lower(F.hex("logs_rlp")), F.lit("c0")) if "logs_rlp" in there else None
+    encoded = X.receipt_rlp(F.col("status"), F.col("cumulative_gas_used"), bloom, logs, F.col("tx_type") if "tx_type" in there else None)
     return receipts.select(
         "block_number", "block_hash", "tx_index", "tx_hash", F.col("tx_index").alias("receipt_index"),
-        X.receipt_rlp(F.col("status"), F.col("cumulative_gas_used")).alias("receipt_rlp"), F.lit(None).cast("string").alias("receipt_root_anchor"),
-        zeros.alias("log_bloom"), "status", "cumulative_gas_used",
+        encoded.alias("receipt_rlp"), F.lit(None).cast("string").alias("receipt_root_anchor"),
+        X.bloom(bloom).alias("log_bloom"), "status", "cumulative_gas_used",
     )
 
 
+def _ops(rows: DataFrame, table: str, key: F.Column, phase: int, part: int, **at: F.Column) -> DataFrame:
+    """Undo operations of one table, with what orders them within a block."""
+    place = {"address": F.lit(""), "slot": F.lit(""), "tx": F.lit(0)} | at
+    return rows.select("block_number", "block_hash", F.lit(phase).alias("phase"), F.lit(part).alias("part"), *(c.alias(n) for n, c in place.items()), F.lit(table).alias("table_name"), key.alias("primary_key_ref"), F.lit("").alias("inverse_payload"))
+
+
+def account_ops(accounts: DataFrame) -> DataFrame:
+    return _ops(accounts, "account_diffs", X.account_key(F.col("block_hash"), F.col("address")), 0, 0, address=F.col("address"))
+
+
+def storage_ops(storage: DataFrame) -> DataFrame:
+    return _ops(storage, "storage_diffs", X.storage_key(F.col("block_hash"), F.col("address"), F.col("slot")), 0, 1, address=F.col("address"), slot=F.col("slot"))
+
+
+def receipt_ops(receipts: DataFrame) -> DataFrame:
+    return _ops(receipts, "receipt_artifacts", X.receipt_key(F.col("block_hash"), F.col("tx_index")), 1, 2, tx=F.col("tx_index"))
+
+
+def block_ops(blocks: DataFrame) -> DataFrame:
+    """The kind of operation that takes a block's status back. Extraction never makes one; ``fold.mark_reorged`` applies those of other sources."""
+    return _ops(blocks, "canonical_blocks", X.block_key(F.col("block_hash")), 2, 3)
+
+
 def revert_ops(accounts: DataFrame, storage: DataFrame, receipts: DataFrame) -> DataFrame:
     """An undo operation for each diff row, numbered from 0 within its block: each account, then its slots; then the receipts.
 
-    Slots without an account row stand where their account would.
+    Slots without an account row stand where their account would. A block's gas limit bounds
+    what is numbered together.
     """
-    h = F.col("block_hash")
-    none = F.lit("").alias("inverse_payload")
-    a = accounts.select("block_number", h, F.lit(0).alias("phase"), "address", F.lit(0).alias("part"), F.lit("").alias("slot"), F.lit(0).alias("tx"), F.lit("account_diffs").alias("table_name"), X.account_key(h, F.col("address")).alias("primary_key_ref"), none)
-    s = storage.select("block_number", h, F.lit(0).alias("phase"), "address", F.lit(1).alias("part"), "slot", F.lit(0).alias("tx"), F.lit("storage_diffs").alias("table_name"), X.storage_key(h, F.col("address"), F.col("slot")).alias("primary_key_ref"), none)
-    r = receipts.select("block_number", h, F.lit(1).alias("phase"), F.lit("").alias("address"), F.lit(2).alias("part"), F.lit("").alias("slot"), F.col("tx_index").alias("tx"), F.lit("receipt_artifacts").alias("table_name"), X.receipt_key(h, F.col("tx_index")).alias("primary_key_ref"), none)
     order = Window.partitionBy("block_hash").orderBy("phase", "address", "part", "slot", "tx")
-    rows = a.unionByName(s).unionByName(r).withColumn("op_sequence", (F.row_number().over(order) - 1).cast("bigint"))
+    rows = account_ops(accounts).unionByName(storage_ops(storage)).unionByName(receipt_ops(receipts)).withColumn("op_sequence", (F.row_number().over(order) - 1).cast("bigint"))
     return rows.select(F.col("block_number").alias("reorg_target_block"), "block_hash", "op_sequence", "table_name", "primary_key_ref", "inverse_payload")
 
 
@@ -90,9 +114,10 @@ def segment_net_change(changes: DataFrame, low: int, high: int) -> DataFrame:
     return ends.select("address", old.alias("old"), new.alias("new"), X.change_kind(old, new).alias("change_kind"))
 
 
-def block_summary(blocks: DataFrame, accounts: DataFrame, storage: DataFrame, receipts: DataFrame) -> DataFrame:
-    """How many rows of each table every block has."""
-    out = blocks.select("block_number", "block_hash")
-    for name, rows in (("account_diffs", accounts), ("storage_diffs", storage), ("receipts", receipts)):
-        out = out.join(rows.groupBy("block_hash").agg(F.count("*").alias(name)), "block_hash", "left")
-    return out.select("block_number", "block_hash", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("account_diffs", "storage_diffs", "receipts")))
+def block_summary(blocks: DataFrame, accounts: DataFrame, storage: DataFrame, receipts: DataFrame, *more: str) -> DataFrame:
+    """How many rows of each table every block has, and ``more`` columns of the blocks."""
+    names = ("account_diffs", "storage_diffs", "receipts")
+    counted = [rows.groupBy("block_hash").agg(F.count("*").alias("n")).select("block_hash", *((F.col("n") if x == name else F.lit(0).cast("bigint")).alias(x) for x in names)) for name, rows in zip(names, (accounts, storage, receipts))]
+    counts = counted[0].unionByName(counted[1]).unionByName(counted[2]).groupBy("block_hash").agg(*(F.sum(x).alias(x) for x in names))
+    out = blocks.select("block_number", "block_hash", *more).join(counts, "block_hash", "left")
+    return out.select("block_number", "block_hash", *(F.coalesce(c, F.lit(0)).alias(c) for c in names), *more)

@@ -23,9 +23,9 @@ def visible(rows: DataFrame, blocks: DataFrame, hashes: DataFrame) -> DataFrame:
 
 def index_parity(index: DataFrame, diffs: DataFrame, keys: list[str]) -> DataFrame:
     """side (``index_only`` or ``diff_only``) and key of whatever one has and the other lacks."""
-    i, d = index.select(*keys).distinct(), diffs.select(*keys).distinct()
-    only_i = i.join(d, keys, "left_anti").select(F.lit("index_only").alias("side"), *keys)
-    return only_i.unionByName(d.join(i, keys, "left_anti").select(F.lit("diff_only").alias("side"), *keys))
+    both = index.select(*keys, F.lit(True).alias("indexed")).unionByName(diffs.select(*keys, F.lit(False).alias("indexed")))
+    sides = both.groupBy(*keys).agg(F.max("indexed").alias("i"), F.min("indexed").alias("d"))
+    return sides.filter(F.col("i") == F.col("d")).select(F.when(F.col("i"), "index_only").otherwise("diff_only").alias("side"), *keys)
 
 
 def inconsistent_checkpoints(points: DataFrame) -> DataFrame:

@@ -146,5 +146,15 @@ def decoded_storage(rows: DataFrame) -> DataFrame:
 
 
 def decoded_receipts(rows: DataFrame) -> DataFrame:
+    """Bytes come as ``0x`` text; text that isn't hex becomes null, or an empty bloom."""
     h = lambda c: F.coalesce(X.hash_text(F.col(c)), F.lit(X.ZERO_HASH)).alias(c)
-    return rows.select("block_number", h("block_hash"), "tx_index", h("tx_hash"), "receipt_index", "receipt_rlp", h("receipt_root_anchor"), X.bloom(F.col("log_bloom")).alias("log_bloom"), (F.col("status") != 0).alias("status"), "cumulative_gas_used")
+    return rows.select("block_number", h("block_hash"), "tx_index", h("tx_hash"), "receipt_index", X.from_hex(F.col("receipt_rlp")).alias("receipt_rlp"), h("receipt_root_anchor"), X.bloom(X.from_hex(F.col("log_bloom"))).alias("log_bloom"), (F.col("status") != 0).alias("status"), "cumulative_gas_used")
+
+
+def decoded_ops(rows: DataFrame) -> DataFrame:
+    """Undo operations of an old store; unknown tables read as account diffs."""
+    return rows.select("reorg_target_block", "block_hash", "op_sequence", X.lenient_table(F.col("table_name")).alias("table_name"), "primary_key_ref", "inverse_payload")
+
+
+#: What a store can take over.
+DECODERS = {"account_diffs": decoded_accounts, "storage_diffs": decoded_storage, "receipt_artifacts": decoded_receipts}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..sources import projection as P
 from . import queries as Q
 
 
@@ -9,7 +10,8 @@ def _hash(n: str, fork: str) -> str:
     return f"'0x' || lower(lpad(to_hex(({n})::BIGINT), 16, '0')) || lower(lpad(to_hex(({fork})::BIGINT), 2, '0')) || repeat('0', 46)"
 
 
-_HEIGHTS = "unnest(range(1::BIGINT, 721::BIGINT)) AS t(n)"
+_TOP = f"(SELECT 1 + max(o_orderkey) // {P.ORDERS_IN_BLOCK} FROM orders)"
+_HEIGHTS = f"(SELECT unnest(range(1::BIGINT, {_TOP} + 1)) AS n) AS t"
 ZERO = f"'{'0x' + '0' * 64}'"
 
 BL = f"""bl AS (SELECT n, 0 AS fork, CASE WHEN n % 10 IN (8, 9) THEN 'reorged' ELSE 'active' END AS st FROM {_HEIGHTS}
@@ -22,7 +24,7 @@ CB = f"""{BL}, cb AS (SELECT n AS block_number, {_hash('n', 'fork')} AS block_ha
 _OWN_BRANCH = """((x.st = 'active' AND p.st = 'active') OR (x.st = 'reorged' AND
     ((p.st = 'active' AND p.n < x.n - (x.n % 10 - 8)) OR (p.st = 'reorged' AND p.n >= x.n - (x.n % 10 - 8)))))"""
 
-AD = f"""ev AS (SELECT 1 + date_diff('hour', timestamp '2024-01-01', ts) AS n, user_id, event_type, cast(round(value * 100) AS BIGINT) AS cents FROM events),
+AD = f"""ev AS (SELECT 1 + event_id % {_TOP} AS n, user_id, event_type, cast(round(value * 100) AS BIGINT) AS cents FROM events),
   d AS (SELECT b.n, b.fork, b.st, e.user_id, sum(e.cents)::BIGINT AS delta FROM bl b JOIN ev e ON e.n = b.n
     WHERE b.n % 10 NOT IN (8, 9) OR (b.fork = 0 AND e.event_type <> 'signup') OR (b.fork = 1 AND e.event_type <> 'error') GROUP BY ALL),
   av AS (SELECT x.n, x.fork, x.user_id, max(x.delta) AS delta, sum(p.delta)::BIGINT AS old FROM d x LEFT JOIN d p ON p.user_id = x.user_id AND p.n < x.n AND {_OWN_BRANCH} GROUP BY ALL),
@@ -31,7 +33,7 @@ AD = f"""ev AS (SELECT 1 + date_diff('hour', timestamp '2024-01-01', ts) AS n, u
     CASE WHEN old IS NOT NULL THEN {ZERO} END AS old_code_hash, {ZERO} AS new_code_hash,
     CASE WHEN old IS NULL THEN 'created' WHEN delta = 0 THEN 'touched' ELSE 'modified' END AS change_kind FROM av)"""
 
-RC = f"""od AS (SELECT 1 + o_orderkey % 720 AS n, o_orderkey, o_orderstatus, 21000 + cast(round(o_totalprice * 100) AS BIGINT) % 100000 AS gas FROM orders),
+RC = f"""od AS (SELECT 1 + o_orderkey // {P.ORDERS_IN_BLOCK} AS n, o_orderkey, o_orderstatus, 21000 + cast(round(o_totalprice * 100) AS BIGINT) % 100000 AS gas FROM orders),
   ro AS (SELECT b.n, b.fork, o_orderkey, o_orderstatus, gas FROM bl b JOIN od ON od.n = b.n
     WHERE b.n % 10 NOT IN (8, 9) OR (b.fork = 0 AND o_orderstatus <> 'P') OR (b.fork = 1 AND o_orderstatus <> 'F')),
   rw AS (SELECT n AS block_number, {_hash('n', 'fork')} AS block_hash, (row_number() OVER w - 1)::INT AS tx_index, '0x' || lower(lpad(to_hex(o_orderkey), 64, '0')) AS tx_hash,
@@ -43,7 +45,7 @@ RC = f"""od AS (SELECT 1 + o_orderkey % 720 AS n, o_orderkey, o_orderstatus, 210
   rc AS (SELECT block_number, block_hash, tx_index, tx_hash, tx_index AS receipt_index, 'f9' || lower(lpad(to_hex((length(body) / 2)::BIGINT), 4, '0')) || body AS receipt_rlp,
     '0x' || sha256(block_hash) AS receipt_root_anchor, status, cumulative_gas_used FROM rz)"""
 
-SD = f"""sw AS (SELECT b.n, b.fork, b.st, l_suppkey AS a, l_partkey % 16 AS s, cast(max(l_quantity) AS BIGINT) AS v FROM bl b JOIN lineitem ON 1 + l_orderkey % 720 = b.n
+SD = f"""sw AS (SELECT b.n, b.fork, b.st, l_suppkey AS a, l_partkey % 16 AS s, cast(max(l_quantity) AS BIGINT) AS v FROM bl b JOIN lineitem ON 1 + l_orderkey // {P.ORDERS_IN_BLOCK} = b.n
     WHERE b.n % 10 NOT IN (8, 9) OR (b.fork = 0 AND l_returnflag <> 'R') OR (b.fork = 1 AND l_returnflag <> 'A') GROUP BY ALL),
   sj AS (SELECT x.n, x.fork, x.a, x.s, max(x.v) AS v, coalesce(arg_max(p.v, p.n), 0) AS o FROM sw x LEFT JOIN sw p ON p.a = x.a AND p.s = x.s AND p.n < x.n AND {_OWN_BRANCH} GROUP BY ALL),
   sa AS (SELECT n AS block_number, {_hash('n', 'fork')} AS block_hash, '0x' || lower(lpad(to_hex(a), 40, '0')) AS address, s::VARCHAR AS slot, o::VARCHAR AS old_value, v::VARCHAR AS new_value FROM sj),
@@ -69,9 +71,11 @@ _SUMMARY = """SELECT c.block_number, c.block_hash, (SELECT count(*) FROM ad WHER
     (SELECT count(*) FROM sd WHERE sd.block_hash = c.block_hash) AS storage_diffs, (SELECT count(*) FROM rc WHERE rc.block_hash = c.block_hash) AS receipts"""
 _ADDRESS_INDEX = f"SELECT address, block_number, block_hash, change_kind FROM ad WHERE {_LIVE}"
 _SLOT_INDEX = f"SELECT address, slot, block_number, block_hash FROM sd WHERE {_LIVE}"
-_LAST = "SELECT streaming, streaming AS durable, 0 AS compacted_until, 0 AS proof_indexed_until, streaming AS canonical_tip, finished_height FROM tl WHERE step <> 2 ORDER BY seq DESC, step DESC, block_number DESC LIMIT 1"
+_LAST = "SELECT streaming, streaming - {behind} AS durable, 0 AS compacted_until, 0 AS proof_indexed_until, streaming AS canonical_tip, finished_height FROM tl WHERE step <> 2 ORDER BY seq DESC, step DESC, block_number DESC LIMIT 1"
 _STATUS = "SELECT block_number, block_hash, parent_hash, canonical_status FROM cb"
 _DAMAGED = "block_number % 97 = 0"
+_BATCH = "block_number > 100 AND block_number <= 600"
+_OUT_OF_ORDER = "streaming % 50 = 0 OR streaming % 64 = 0"
 
 ORACLES: dict[str, str] = {
     "block_by_hash": f"WITH {CB} SELECT {_BLOCK} FROM cb WHERE block_hash = '{Q.fork_hash(Q.HEIGHT, 0)}'",
@@ -80,7 +84,7 @@ ORACLES: dict[str, str] = {
     "storage_diffs_for_block": f"WITH {BL}, {SD} SELECT * FROM sd WHERE block_hash = '{Q.fork_hash(Q.HEIGHT, 0)}'",
     "receipts_for_block": f"WITH {BL}, {RC} SELECT * FROM rc WHERE block_hash = '{Q.fork_hash(Q.HEIGHT, 1)}'",
     "revert_ops_for_block": f"{ALL}, {OPS} SELECT * FROM ops WHERE block_hash = '{Q.fork_hash(Q.HEIGHT, 0)}'",
-    "hash_at_height": f"WITH {CB} SELECT n AS block_number, block_hash FROM unnest(range(701, 741)) AS h(n) LEFT JOIN (SELECT * FROM cb WHERE canonical_status = 'active') c ON c.block_number = n",
+    "hash_at_height": f"WITH {CB} SELECT n AS block_number, block_hash FROM unnest(range(721, 761)) AS h(n) LEFT JOIN (SELECT * FROM cb WHERE canonical_status = 'active') c ON c.block_number = n",
     "block_is_canonical": f"WITH {CB} SELECT n AS block_number, {_hash('n', 'f')} AS block_hash, (f = 1) = (n % 10 >= 8) AS is_canonical FROM {_HEIGHTS}, (VALUES (0), (1)) AS x(f)",
     "account_diff_range": f"WITH {CB}, {AD} SELECT * FROM ad WHERE {_LIVE} AND address = '{Q.address(Q.USER)}' AND block_number BETWEEN {Q.LOW} AND {Q.HIGH}",
     "account_history": f"WITH {CB}, {AD} SELECT * FROM ad WHERE {_LIVE}",
@@ -110,23 +114,33 @@ ORACLES: dict[str, str] = {
     "canonical_status_after_log": f"WITH {CB} {_STATUS}",
     "commit_fold": f"{ALL}, {OPS} {_SUMMARY}, (SELECT count(*) FROM ops WHERE ops.block_hash = c.block_hash) AS undo_ops, canonical_status FROM cb c",
     "apply_revert": f"""{ALL} SELECT 'account_diffs' AS table_name, block_number, block_hash, count(*) AS n_rows FROM ad WHERE {_LIVE} GROUP BY ALL
-        UNION ALL SELECT 'storage_diffs', block_number, block_hash, count(*) FROM sd WHERE {_LIVE} GROUP BY ALL UNION ALL SELECT 'receipt_artifacts', block_number, block_hash, count(*) FROM rc WHERE {_LIVE} GROUP BY ALL""",
+        UNION ALL SELECT 'storage_diffs', block_number, block_hash, count(*) FROM sd WHERE {_LIVE} GROUP BY ALL UNION ALL SELECT 'receipt_artifacts', block_number, block_hash, count(*) FROM rc WHERE {_LIVE} GROUP BY ALL
+        UNION ALL SELECT 'canonical_blocks', block_number, block_hash, 1 FROM cb WHERE {_LIVE}""",
     "duplicate_commit": f"WITH {BL}, {AD} SELECT * FROM ad",
     "phantom_revert": f"WITH {CB} {_STATUS}",
     "cursor_timeline": f"WITH {BL}, {LG} SELECT seq, step, operation, block_number, streaming, streaming AS durable, streaming AS canonical_tip, finished_height FROM tl",
-    "latest_checkpoint": f"WITH {BL}, {LG} {_LAST}",
-    "cursor_on_restart": f"WITH {BL}, {LG} {_LAST}",
-    "inv_checkpoint_consistent": f"WITH {BL}, {LG} SELECT count(*) AS checkpoints, count(*) FILTER (streaming < 0) AS violations FROM tl WHERE step <> 2",
+    "latest_checkpoint": f"WITH {BL}, {LG} {_LAST.format(behind=0)}",
+    "cursor_on_restart": f"WITH {BL}, {LG} SELECT * REPLACE (durable AS streaming) FROM ({_LAST.format(behind=3)})",
+    "merged_cursors": f"WITH {BL}, {LG} SELECT * REPLACE (least(durable, 2 * {_TOP} // 3) AS compacted_until, least(durable, 2 * {_TOP} // 3) AS proof_indexed_until), true AS consistent FROM ({_LAST.format(behind=0)})",
+    "inv_checkpoint_consistent": f"WITH {BL}, {LG} SELECT count(*) AS checkpoints, count(*) FILTER ({_OUT_OF_ORDER}) AS violations FROM tl WHERE step <> 2",
     "address_block_index": f"WITH {CB}, {AD} {_ADDRESS_INDEX}",
     "slot_block_index": f"WITH {CB}, {SD} {_SLOT_INDEX}",
-    "compaction_batch": f"WITH {CB}, {AD} {_ADDRESS_INDEX} AND block_number > 100 AND block_number <= 600",
-    "compaction_batches_plan": "SELECT s AS after, least(s + 100, 720) AS up_to, s + 100 >= 720 AS done FROM unnest(range(0, 720, 100)) AS t(s)",
-    "index_unwind": f"WITH {CB}, {SD} {_SLOT_INDEX} AND block_number <= 355",
+    "compaction_batch": f"WITH {CB}, {AD}, {SD} SELECT address, NULL::VARCHAR AS slot, block_number, block_hash FROM ({_ADDRESS_INDEX}) WHERE {_BATCH} UNION ALL SELECT * FROM ({_SLOT_INDEX}) WHERE {_BATCH}",
+    "compaction_gaps": f"SELECT n AS block_number FROM {_HEIGHTS} WHERE n % 97 = 0 AND n > 100 AND n <= 600",
+    "index_append": f"WITH {CB}, {AD} {_ADDRESS_INDEX} AND block_number > 300",
+    "cursor_unwind": "SELECT n AS id, least(n * 7 % 701, 355) AS compacted_until, least(n * 5 % 503, 355) AS proof_indexed_until FROM unnest(range(300::BIGINT, 400::BIGINT)) AS t(n)",
+    "compaction_batches_plan": f"SELECT s AS after, least(s + 100, {_TOP}) AS up_to, s + 100 >= {_TOP} AS done FROM (SELECT unnest(range(0::BIGINT, {_TOP}, 100)) AS s)",
+    "index_unwind": f"WITH {CB}, {AD}, {SD} SELECT address, NULL::VARCHAR AS slot, block_number, block_hash FROM ({_ADDRESS_INDEX}) WHERE block_number <= 355 UNION ALL SELECT * FROM ({_SLOT_INDEX}) WHERE block_number <= 355",
     "inv_orphan_account": f"WITH {BL}, {AD} SELECT count(*) AS violations FROM ad WHERE {_DAMAGED}",
     "inv_orphan_storage": f"WITH {BL}, {SD} SELECT count(*) AS violations FROM sd WHERE {_DAMAGED}",
     "inv_orphan_receipts": f"WITH {BL}, {RC} SELECT count(*) AS violations FROM rc WHERE {_DAMAGED}",
-    "inv_block_invisible": f"WITH {CB}, {AD} SELECT 'stored' AS what, count(*) AS n_rows FROM ad WHERE NOT {_LIVE} UNION ALL SELECT 'visible', 0",
-    "inv_index_parity": f"WITH {CB}, {AD} SELECT 'diff_only' AS side, count(*) AS n_rows FROM ad WHERE {_LIVE} AND block_number > 700",
-    "invariant_report": "SELECT unnest(['orphan_account_diffs', 'orphan_storage_diffs', 'orphan_receipts', 'checkpoints', 'address_index']) AS check, 0 AS violations",
-    "canonical_anchor": f"WITH {CB} SELECT block_number, block_hash, canonical_status = 'active' AS is_canonical, 720 AS head_number, {_hash('720', '0')} AS head_hash, 704 AS finalized_height FROM cb",
+    "inv_block_invisible": f"""WITH {CB}, {AD} SELECT 'stored' AS what, count(*) AS n_rows FROM ad WHERE NOT {_LIVE} UNION ALL SELECT 'visible', 0
+        UNION ALL SELECT 'visible to a stale table', count(*) FROM ad WHERE NOT {_LIVE} AND block_number % 7 = 0""",
+    "inv_index_parity": f"""WITH {CB}, {AD}, x AS (SELECT CASE WHEN {_LIVE} THEN 'diff_only' ELSE 'index_only' END AS side, block_number FROM ad)
+        SELECT side, count(*) AS n_rows FROM x WHERE (side = 'diff_only') = (block_number > 700) GROUP BY side""",
+    "invariant_report": f"""{ALL}, {LG} SELECT 'orphan_account_diffs' AS check, count(*) AS violations FROM ad WHERE {_DAMAGED} UNION ALL SELECT 'orphan_storage_diffs', count(*) FROM sd WHERE {_DAMAGED}
+        UNION ALL SELECT 'orphan_receipts', count(*) FROM rc WHERE {_DAMAGED} UNION ALL SELECT 'checkpoints', count(*) FILTER ({_OUT_OF_ORDER}) FROM tl WHERE step <> 2
+        UNION ALL SELECT 'address_index', count(*) FROM ad WHERE {_LIVE} AND block_number > 700""",
+    "canonical_anchor": f"""WITH {CB}, live AS (SELECT * FROM cb WHERE canonical_status = 'active') SELECT block_number, block_hash, canonical_status = 'active' AS is_canonical,
+        (SELECT max(block_number) FROM live) AS head_number, (SELECT arg_max(block_hash, block_number) FROM live) AS head_hash, (SELECT max(block_number) FROM live WHERE finalized_hint) AS finalized_height FROM cb""",
 }

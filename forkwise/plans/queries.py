@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +34,21 @@ class Chain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
+    def heights(self) -> int:
+        return P.heights_of(self.spark, self.sf_dir)
+
     def blocks(self) -> DataFrame:
-        return P.canonical_blocks(self.spark)
+        return P.canonical_blocks(self.spark, self.heights)
+
+    def log(self) -> DataFrame:
+        return P.chain_log(self.spark, self.heights)
 
     def events(self) -> DataFrame:
-        return fold.block_events(P.chain_log(self.spark))
+        return fold.block_events(self.log())
 
     def changes(self) -> DataFrame:
-        return P.account_changes(self.spark, self.sf_dir)
+        return P.account_changes(self.spark, self.sf_dir, self.heights)
 
     def accounts(self) -> DataFrame:
         return extract.account_diffs(self.changes())
@@ -95,12 +102,12 @@ def revert_ops_for_block(c: Chain) -> DataFrame:
 
 
 def hash_at_height(c: Chain) -> DataFrame:
-    heights = c.spark.range(701, 741).select(F.col("id").alias("block_number"))
+    heights = c.spark.range(721, 761).select(F.col("id").alias("block_number"))
     return reads.hash_at_height(c.blocks(), heights)
 
 
 def block_is_canonical(c: Chain) -> DataFrame:
-    forks = c.spark.range(1, P.HEIGHTS + 1).select(F.col("id").alias("block_number"), F.explode(F.array(F.lit(0), F.lit(1))).alias("fork"))
+    forks = c.spark.range(1, c.heights + 1).select(F.col("id").alias("block_number"), F.explode(F.array(F.lit(0), F.lit(1))).alias("fork"))
     return reads.is_canonical(c.blocks(), forks.select("block_number", P.block_hash()))
 
 
@@ -188,7 +195,7 @@ def rlp_index_key(c: Chain) -> DataFrame:
 
 
 def fork_hashes(c: Chain) -> DataFrame:
-    return P.blocks(c.spark).select("block_number", "fork", P.block_hash())
+    return P.blocks(c.spark, c.heights).select("block_number", "fork", P.block_hash())
 
 
 # --- extraction and undo ----------------------------------------------------------
@@ -224,18 +231,25 @@ def canonical_status_after_log(c: Chain) -> DataFrame:
 
 def commit_fold(c: Chain) -> DataFrame:
     """What folding the log leaves of every block: its status, its rows and its undo operations."""
-    blocks = fold.status_after(c.events())
-    n_ops = c.ops().groupBy("block_hash").agg(F.count("*").alias("undo_ops"))
-    rows = extract.block_summary(blocks, c.accounts(), c.storage(), c.receipts()).join(n_ops, "block_hash", "left").join(blocks.select("block_hash", "canonical_status"), "block_hash")
-    return rows.withColumn("undo_ops", F.coalesce("undo_ops", F.lit(0)))
+    rows = extract.block_summary(fold.status_after(c.events()), c.accounts(), c.storage(), c.receipts(), "canonical_status")
+    return rows.withColumn("undo_ops", F.col("account_diffs") + F.col("storage_diffs") + F.col("receipts"))
 
 
 def apply_revert(c: Chain) -> DataFrame:
-    """Rows that stay of each block when the undo operations of all losing blocks have been applied."""
-    lost = c.blocks().filter("canonical_status = 'reorged'").select("block_hash")
-    ops = c.ops().join(lost, "block_hash", "left_semi").drop("block_hash")
-    tables = {"account_diffs": (c.accounts(), ["block_hash", "address"]), "storage_diffs": (c.storage(), ["block_hash", "address", "slot"]), "receipt_artifacts": (c.receipts(), ["block_hash", "tx_index"])}
-    left = [fold.apply_revert(rows, name, keys, ops).groupBy("block_number", "block_hash").agg(F.count("*").alias("n_rows")).withColumn("table_name", F.lit(name)) for name, (rows, keys) in tables.items()]
+    """Rows that stay of each block when the undo operations of all losing blocks have been applied, blocks of that status themselves among them."""
+    lost = c.blocks().filter("canonical_status = 'reorged'").select("block_number", "block_hash")
+    tables = {
+        "account_diffs": (c.accounts(), ["block_hash", "address"], extract.account_ops),
+        "storage_diffs": (c.storage(), ["block_hash", "address", "slot"], extract.storage_ops),
+        "receipt_artifacts": (c.receipts(), ["block_hash", "tx_index"], extract.receipt_ops),
+    }
+    left = []
+    for name, (rows, keys, ops_of) in tables.items():
+        ops = ops_of(rows.join(F.broadcast(lost.select("block_hash")) if c.heights < P.BROADCAST_HEIGHTS else lost.select("block_hash"), "block_hash", "left_semi"))
+        left.append(fold.apply_revert(rows, name, keys, ops).groupBy("block_number", "block_hash").agg(F.count("*").alias("n_rows")).withColumn("table_name", F.lit(name)))
+    committed = c.blocks().withColumn("canonical_status", F.lit("active"))
+    marked = fold.mark_reorged(committed, extract.block_ops(lost)).filter("canonical_status = 'active'")
+    left.append(marked.select("block_number", "block_hash", F.lit(1).cast("bigint").alias("n_rows"), F.lit("canonical_blocks").alias("table_name")))
     return reduce(DataFrame.unionByName, left)
 
 
@@ -248,8 +262,8 @@ def duplicate_commit(c: Chain) -> DataFrame:
 
 def phantom_revert(c: Chain) -> DataFrame:
     """A revert of a branch that was never seen, at every height."""
-    never = c.spark.range(1, P.HEIGHTS + 1).select(F.lit(10_000).cast("bigint").alias("seq"), F.lit("revert").alias("kind"), F.lit("old").alias("side"), F.col("id").alias("block_number"), X.fork_hash(F.col("id"), F.lit(7)).alias("block_hash"), X.fork_hash(F.col("id") - 1, F.lit(7)).alias("parent_hash"))
-    return fold.status_after(fold.block_events(P.chain_log(c.spark).unionByName(never)))
+    never = c.spark.range(1, c.heights + 1).select(F.lit(1 << 40).cast("bigint").alias("seq"), F.lit("revert").alias("kind"), F.lit("old").alias("side"), F.col("id").alias("block_number"), X.fork_hash(F.col("id"), F.lit(7)).alias("block_hash"), X.fork_hash(F.col("id") - 1, F.lit(7)).alias("parent_hash"))
+    return fold.status_after(fold.block_events(c.log().unionByName(never)))
 
 
 # --- cursors ----------------------------------------------------------------------
@@ -264,11 +278,25 @@ def latest_checkpoint(c: Chain) -> DataFrame:
 
 
 def cursor_on_restart(c: Chain) -> DataFrame:
-    return cursors.on_restart(cursors.checkpoints(c.events())).drop("id")
+    """The stream has run three heights ahead of what is durable."""
+    return cursors.on_restart(cursors.checkpoints(c.events()).withColumn("durable", F.col("durable") - 3)).drop("id")
 
 
-def inv_checkpoint_consistent(c: Chain) -> DataFrame:
+def merged_cursors(c: Chain) -> DataFrame:
+    """The stream's cursors with those of an index side that was at two thirds of the chain, and whose proofs had got further."""
+    stage = compaction.advance(cursors.latest(cursors.checkpoints(c.events())), 2 * c.heights // 3).withColumn("proof_indexed_until", F.col("compacted_until") + 5)
+    return cursors.merged(cursors.checkpoints(c.events()), stage).drop("id").withColumn("consistent", cursors.consistent())
+
+
+def _damaged_checkpoints(c: Chain) -> DataFrame:
+    """Checkpoints of an index side that stands above what is durable at each 50th height, and whose proofs stand above the index at each 64th."""
     points = cursors.checkpoints(c.events())
+    above = F.when(F.col("streaming") % 50 == 0, F.col("durable") + 1).otherwise(F.col("durable") - 1)
+    return points.withColumn("compacted_until", above).withColumn("proof_indexed_until", F.when(F.col("streaming") % 64 == 0, above + 1).otherwise(above))
+
+
+def inv_checkpoint_consistent(c: Chain) -> DataFrame:
+    points = _damaged_checkpoints(c)
     return points.agg(F.count("*").alias("checkpoints"), F.count_if(~cursors.consistent()).alias("violations"))
 
 
@@ -284,7 +312,20 @@ def slot_block_index(c: Chain) -> DataFrame:
 
 
 def compaction_batch(c: Chain) -> DataFrame:
-    return compaction.compact(c.accounts(), c.storage(), c.blocks(), compaction.next_batch(100, 720, most=500))[0]
+    """Rows of both indexes in one batch; those of addresses have no slot."""
+    a, s = compaction.compact(c.accounts(), c.storage(), c.blocks(), compaction.next_batch(100, c.heights, most=500))
+    return a.select("address", F.lit(None).cast("string").alias("slot"), "block_number", "block_hash").unionByName(s)
+
+
+def compaction_gaps(c: Chain) -> DataFrame:
+    """Heights of a batch that a damaged block table has no canonical block for."""
+    return compaction.gap_heights(_registry(c), compaction.next_batch(100, c.heights, most=500))
+
+
+def index_append(c: Chain) -> DataFrame:
+    """What compacting the whole chain adds to an index that was compacted up to height 300."""
+    index = compaction.address_index(c.accounts(), c.blocks())
+    return compaction.new_rows(index, compaction.unwound(index, 300), ["address", "block_number", "block_hash"])
 
 
 def compaction_batches_plan(c: Chain) -> DataFrame:
@@ -293,7 +334,15 @@ def compaction_batches_plan(c: Chain) -> DataFrame:
 
 
 def index_unwind(c: Chain) -> DataFrame:
-    return compaction.unwound(compaction.slot_index(c.storage(), c.blocks()), 355)
+    """Both indexes without what lies above height 355; rows of addresses have no slot."""
+    a = compaction.unwound(compaction.address_index(c.accounts(), c.blocks()), 355).select("address", F.lit(None).cast("string").alias("slot"), "block_number", "block_hash")
+    return a.unionByName(compaction.unwound(compaction.slot_index(c.storage(), c.blocks()), 355))
+
+
+def cursor_unwind(c: Chain) -> DataFrame:
+    """The stage's cursors after an unwinding to height 355: lowered, or left where they were below."""
+    at = c.spark.range(300, 400).select((F.col("id") * 7 % 701).alias("compacted_until"), (F.col("id") * 5 % 503).alias("proof_indexed_until"), "id")
+    return compaction.unwind_cursors(at, 355)
 
 
 # --- invariants -------------------------------------------------------------------
@@ -317,27 +366,28 @@ def inv_orphan_receipts(c: Chain) -> DataFrame:
 
 
 def inv_block_invisible(c: Chain) -> DataFrame:
-    """Rows of losing blocks that are stored, and those that can be seen."""
+    """Rows of losing blocks that are stored, those that can be seen, and those seen by a stale block table, which takes every seventh height for active."""
     lost = c.blocks().filter("canonical_status = 'reorged'")
-    rows = c.accounts()
+    rows, stale = c.accounts(), c.blocks().withColumn("canonical_status", F.when(F.col("block_number") % 7 == 0, "active").otherwise(F.col("canonical_status")))
     stored = rows.join(lost.select("block_hash"), "block_hash", "left_semi").agg(F.count("*").alias("n_rows")).select(F.lit("stored").alias("what"), "n_rows")
     seen = invariants.visible(rows, c.blocks(), lost).agg(F.count("*").alias("n_rows")).select(F.lit("visible").alias("what"), "n_rows")
-    return stored.unionByName(seen)
+    stale = invariants.visible(rows, stale, lost).agg(F.count("*").alias("n_rows")).select(F.lit("visible to a stale table").alias("what"), "n_rows")
+    return stored.unionByName(seen).unionByName(stale)
 
 
 def inv_index_parity(c: Chain) -> DataFrame:
-    """An index compacted up to 700 against all canonical changes."""
-    live = c.blocks()
-    index = compaction.unwound(compaction.address_index(c.accounts(), live), 700)
-    return invariants.index_parity(index, fold.active(c.accounts(), live), ["address", "block_number", "block_hash"]).groupBy("side").agg(F.count("*").alias("n_rows"))
+    """An index compacted up to 700 that has kept the losing branches' rows, against all canonical changes."""
+    accounts = c.accounts()
+    return invariants.index_parity(compaction.unwound(accounts, 700), fold.active(accounts, c.blocks()), ["address", "block_number", "block_hash"]).groupBy("side").agg(F.count("*").alias("n_rows"))
 
 
 def invariant_report(c: Chain) -> DataFrame:
-    blocks, live = c.blocks(), fold.active(c.accounts(), c.blocks())
-    index = compaction.address_index(c.accounts(), blocks)
+    """Violations of each check in damaged tables: lost blocks, checkpoints out of order, an index that ends at height 700."""
+    blocks, accounts = _registry(c), c.accounts()
+    live = fold.active(accounts, c.blocks())
     checks = {
-        "orphan_account_diffs": invariants.orphans(c.accounts(), blocks), "orphan_storage_diffs": invariants.orphans(c.storage(), blocks), "orphan_receipts": invariants.orphans(c.receipts(), blocks),
-        "checkpoints": invariants.inconsistent_checkpoints(cursors.checkpoints(c.events())), "address_index": invariants.index_parity(index, live, ["address", "block_number", "block_hash"]),
+        "orphan_account_diffs": invariants.orphans(accounts, blocks), "orphan_storage_diffs": invariants.orphans(c.storage(), blocks), "orphan_receipts": invariants.orphans(c.receipts(), blocks),
+        "checkpoints": invariants.inconsistent_checkpoints(_damaged_checkpoints(c)), "address_index": invariants.index_parity(compaction.unwound(live, 700), live, ["address", "block_number", "block_hash"]),
     }
     return invariants.report(checks)
 
@@ -377,8 +427,8 @@ QUERIES = dict(
             change_kind_matrix, storage_noop_filter, reorg_base, rlp_index_key, fork_hashes,
             extract_account_diffs, extract_storage_diffs, extract_receipts, revert_ops, segment_net_change,
             canonical_status_after_log, commit_fold, apply_revert, duplicate_commit, phantom_revert,
-            cursor_timeline, latest_checkpoint, cursor_on_restart, inv_checkpoint_consistent,
-            address_block_index, slot_block_index, compaction_batch, compaction_batches_plan, index_unwind,
+            cursor_timeline, latest_checkpoint, cursor_on_restart, merged_cursors, inv_checkpoint_consistent,
+            address_block_index, slot_block_index, compaction_batch, compaction_batches_plan, compaction_gaps, index_append, index_unwind, cursor_unwind,
             inv_orphan_account, inv_orphan_storage, inv_orphan_receipts, inv_block_invisible, inv_index_parity, invariant_report, inv_root_reproducible,
             receipts_root, receipt_proof, canonical_anchor,
         ),

@@ -18,7 +18,8 @@ def fields(spec: str) -> T.StructType:
 ACCOUNT = fields("balance string, nonce bigint, code_hash string")
 SLOT_CHANGE = fields("slot string, old_value string, new_value string")
 CHANGE = T.StructType([T.StructField("address", T.StringType()), T.StructField("old", ACCOUNT), T.StructField("new", ACCOUNT), T.StructField("storage", T.ArrayType(SLOT_CHANGE))])
-RECEIPT = fields("tx_hash string, status boolean, cumulative_gas_used bigint")
+#: Type, encoded list of logs and bloom may be null: a legacy receipt without logs.
+RECEIPT = fields("tx_hash string, status boolean, cumulative_gas_used bigint, tx_type int, logs_rlp binary, log_bloom binary")
 
 #: One row for each block on each side of a notification. A null account is absent on that side.
 CHAIN_LOG = T.StructType(
@@ -26,6 +27,7 @@ CHAIN_LOG = T.StructType(
         *fields("seq bigint, kind string, side string, block_number bigint, block_hash string, parent_hash string"),
         T.StructField("changes", T.ArrayType(CHANGE)),
         T.StructField("receipts", T.ArrayType(RECEIPT)),
+        T.StructField("transactions", T.ArrayType(T.StringType())),  # hashes; null if receipts bring them
     ]
 )
 
@@ -38,6 +40,9 @@ STAGE_CHECKPOINTS = fields("id bigint, streaming bigint, durable bigint, compact
 ADDRESS_BLOCK_INDEX = fields("address string, block_number bigint, block_hash string, change_kind string")
 SLOT_BLOCK_INDEX = fields("address string, slot string, block_number bigint, block_hash string")
 BLOCK_EVENTS = fields("seq bigint, phase int, kind string, block_number bigint, block_hash string, parent_hash string, event string")
+ROLLBACKS = fields("seq bigint, base bigint")
+GAPS = fields("block_number bigint, found_at bigint")
+QUARANTINE = fields("seq bigint, block_number bigint, block_hash string, reason string")
 FINISHED_HEIGHTS = fields("seq bigint, finished_height bigint")
 
 CURSORS = ("streaming", "durable", "compacted_until", "proof_indexed_until", "canonical_tip", "finished_height")

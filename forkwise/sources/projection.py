@@ -1,10 +1,10 @@
 """Chain tables projected from the driver's tables.
 
-Heights 1 to 720 form a chain whose heights ending in 8 and 9 are contested: fork 0 loses
-them to fork 1. Events give account changes, orders give receipts, line items give storage
-changes. A value's predecessor is that on its own branch: rows of a losing fork see the
-active chain below the fork point and their own fork above it. There are at most 864 blocks,
-so no account or slot has a longer history than that.
+Each twenty orders make a height, as a block's gas limit bounds its transactions, so the chain
+grows with the tables. Heights ending in 8 and 9 are contested: fork 0 loses them to fork 1.
+Orders give receipts, their line items storage changes, and events, dealt over all heights,
+account changes. A value's predecessor is that on its own branch: rows of a losing fork see
+the active chain below the fork point and their own fork above it.
 """
 
 from __future__ import annotations
@@ -14,12 +14,24 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 
-HEIGHTS = 720
+ORDERS_IN_BLOCK = 20
+#: Block hashes of chains up to this length are broadcast (about 70 MB with their overhead).
+BROADCAST_HEIGHTS = 500_000
 
 
-def blocks(spark: SparkSession) -> DataFrame:
+def heights_of(spark: SparkSession, sf_dir: str) -> int:
+    """The chain's length; 1 if there are no orders."""
+    last = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.max("o_orderkey").alias("k")).collect()[0]["k"]
+    return 1 + (last or 0) // ORDERS_IN_BLOCK
+
+
+def height_of(order_key: str) -> Column:
+    return (1 + F.floor(F.col(order_key) / ORDERS_IN_BLOCK)).cast("bigint").alias("block_number")
+
+
+def blocks(spark: SparkSession, heights: int) -> DataFrame:
     """block_number, fork and status of every block."""
-    heights = spark.range(1, HEIGHTS + 1).select(F.col("id").alias("block_number"))
+    heights = spark.range(1, heights + 1).select(F.col("id").alias("block_number"))
     contested = F.col("block_number") % 10 >= 8
     forks = F.when(contested, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = heights.select("block_number", contested.alias("contested"), F.explode(forks).alias("fork"))
@@ -36,15 +48,15 @@ def parent_hash() -> Column:
     return X.fork_hash(F.col("block_number") - 1, fork).alias("parent_hash")
 
 
-def canonical_blocks(spark: SparkSession) -> DataFrame:
+def canonical_blocks(spark: SparkSession, heights: int) -> DataFrame:
     """Every 32nd height is hinted as final."""
     hint = F.when(F.col("block_number") % 32 == 0, F.lit(True))
-    return blocks(spark).select("block_number", block_hash(), parent_hash(), "canonical_status", hint.alias("finalized_hint"), F.lit(None).cast("bigint").alias("derived_checkpoint_id"))
+    return blocks(spark, heights).select("block_number", block_hash(), parent_hash(), "canonical_status", hint.alias("finalized_hint"), F.lit(None).cast("bigint").alias("derived_checkpoint_id"))
 
 
-def chain_log(spark: SparkSession) -> DataFrame:
+def chain_log(spark: SparkSession, heights: int) -> DataFrame:
     """Notification log without payloads: each ten heights are committed, then their contested ones reorganised."""
-    rows = blocks(spark)
+    rows = blocks(spark, heights)
     decade = F.floor(F.col("block_number") / 10)
     base = [block_hash(), parent_hash()]
     commit = rows.filter("fork = 0").select((2 * decade).alias("seq"), F.lit("commit").alias("kind"), F.lit("new").alias("side"), "block_number", *base)
@@ -54,7 +66,7 @@ def chain_log(spark: SparkSession) -> DataFrame:
     return commit.unionByName(reorg)
 
 
-def _per_block(spark: SparkSession, rows: DataFrame, lost: Column, won: Column) -> DataFrame:
+def _per_block(rows: DataFrame, lost: Column, won: Column) -> DataFrame:
     """Rows (with block_number) on every block that has them; contested blocks leave some out."""
     n = F.col("block_number") % 10
     forks = F.when(n < 8, F.array(F.lit(0))).otherwise(F.filter(F.array(F.when(lost, F.lit(0)), F.when(won, F.lit(1))), lambda x: x.isNotNull()))
@@ -62,13 +74,12 @@ def _per_block(spark: SparkSession, rows: DataFrame, lost: Column, won: Column)
     return out.withColumn("canonical_status", F.when((n >= 8) & (F.col("fork") == 0), "reorged").otherwise("active"))
 
 
-def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def account_changes(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
     """block_number, block_hash, address and the account before and after, as structs."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    hour = F.expr("date_diff(HOUR, timestamp_ntz'2024-01-01 00:00:00', ts)")
     cents = F.round(F.col("value") * 100).cast("bigint")
-    rows = events.select((hour + 1).cast("bigint").alias("block_number"), "user_id", "event_type", cents.alias("cents")).filter(F.col("block_number").between(1, HEIGHTS))
-    rows = _per_block(spark, rows, F.col("event_type") != "signup", F.col("event_type") != "error")
+    rows = events.select((1 + F.col("event_id") % heights).cast("bigint").alias("block_number"), "user_id", "event_type", cents.alias("cents"))
+    rows = _per_block(rows, F.col("event_type") != "signup", F.col("event_type") != "error")
     rows = rows.groupBy("block_number", "fork", "canonical_status", "user_id").agg(F.sum("cents").alias("delta"))
 
     active = F.when(F.col("canonical_status") == "active", F.col("delta"))
@@ -96,8 +107,8 @@ def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def storage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """block_number, block_hash, address, slot and its value before and after, unchanged ones included."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    rows = items.select((1 + F.col("l_orderkey") % HEIGHTS).alias("block_number"), "l_suppkey", (F.col("l_partkey") % 16).alias("slot"), "l_quantity", "l_returnflag")
-    rows = _per_block(spark, rows, F.col("l_returnflag") != "R", F.col("l_returnflag") != "A")
+    rows = items.select(height_of("l_orderkey"), "l_suppkey", (F.col("l_partkey") % 16).alias("slot"), "l_quantity", "l_returnflag")
+    rows = _per_block(rows, F.col("l_returnflag") != "R", F.col("l_returnflag") != "A")
     rows = rows.groupBy("block_number", "fork", "canonical_status", "l_suppkey", "slot").agg(F.max("l_quantity").cast("bigint").alias("value"))
 
     active = F.when(F.col("canonical_status") == "active", F.col("value"))
@@ -119,8 +130,8 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """block_number, block_hash, tx_index, tx_hash, status and cumulative_gas_used."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     gas = 21000 + F.round(F.col("o_totalprice") * 100).cast("bigint") % 100000
-    rows = orders.select((1 + F.col("o_orderkey") % HEIGHTS).alias("block_number"), "o_orderkey", "o_orderstatus", gas.alias("gas"))
-    rows = _per_block(spark, rows, F.col("o_orderstatus") != "P", F.col("o_orderstatus") != "F")
+    rows = orders.select(height_of("o_orderkey"), "o_orderkey", "o_orderstatus", gas.alias("gas"))
+    rows = _per_block(rows, F.col("o_orderstatus") != "P", F.col("o_orderstatus") != "F")
     order = Window.partitionBy("block_number", "fork").orderBy("o_orderkey")
     return rows.select(
         "block_number", block_hash(), (F.row_number().over(order) - 1).cast("int").alias("tx_index"), X.number_hash(F.col("o_orderkey")).alias("tx_hash"),

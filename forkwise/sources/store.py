@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators import fold
+from ..operators import fold, reads
 
 TABLES: dict[str, T.StructType] = {
     "block_events": schemas.BLOCK_EVENTS,
@@ -20,6 +20,10 @@ TABLES: dict[str, T.StructType] = {
     "storage_diffs": T.StructType([*schemas.STORAGE_DIFFS, T.StructField("seq", T.LongType())]),
     "receipt_artifacts": T.StructType([*schemas.RECEIPT_ARTIFACTS, T.StructField("seq", T.LongType())]),
     "stage_checkpoints": schemas.STAGE_CHECKPOINTS,
+    "stream_checkpoints": schemas.STAGE_CHECKPOINTS,
+    "rollbacks": schemas.ROLLBACKS,
+    "index_gaps": schemas.GAPS,
+    "quarantine": schemas.QUARANTINE,
     "address_block_index": T.StructType([*schemas.ADDRESS_BLOCK_INDEX]),
     "slot_block_index": T.StructType([*schemas.SLOT_BLOCK_INDEX]),
     "finished_heights": schemas.FINISHED_HEIGHTS,
@@ -71,6 +75,11 @@ class Store:
             ok = ok | ((F.col("writer") == writer) & (F.col("batch") <= last))
         return rows.filter(ok).drop("writer", "batch")
 
+    def take_over(self, table: str, rows: DataFrame, batch: int) -> None:
+        """Write rows of an old store, decoded leniently, as a committed batch that any later payload of the same keys replaces."""
+        self.put(table, reads.DECODERS[table](rows).withColumn("seq", F.lit(0)), "old", batch)
+        self.commit("old", batch)
+
     # Views that no reader can forget the status of.
 
     def canonical_blocks(self) -> DataFrame:

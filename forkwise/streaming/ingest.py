@@ -1,8 +1,11 @@
 """The notification log as a stream, and the index side that follows it.
 
-``ingest`` reads log files, and each micro-batch writes payloads, then status events, then
-its commit. Status is decided by (seq, phase) when it is read, so neither the order of rows
-in a batch nor repeated delivery matters. ``follow`` is the second query: it is woken at an
+``ingest`` reads log files, and each micro-batch writes payloads, then status events, the
+stream's checkpoint and rollbacks, then its commit. Status is decided by (seq, phase) when
+it is read, so neither the order of rows in a batch nor repeated delivery matters. The
+checkpoint follows from the last one and the batch; only a batch with notifications from
+before the last checkpoint makes the history be folded anew. A batch with blocks that have
+no outcome, or segments with holes, fails, and leaves a quarantine row for each. ``follow`` is the second query: it is woken at an
 interval, unwinds its indexes below whatever was rolled back since, and compacts ranges of
 heights up to the durable cursor.
 """
@@ -15,10 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..config import Settings
+from ..errors import Quarantined
 from ..operators import compaction, cursors, extract, fold, proofs
 from ..sources.store import Store
 
-INGEST, STAGE = "ingest", "stage"
+INGEST, STAGE, QUARANTINE = "ingest", "stage", "quarantine"
 
 
 def check_order(log: DataFrame) -> DataFrame:
@@ -27,10 +31,36 @@ def check_order(log: DataFrame) -> DataFrame:
     return runs.filter("high - low + 1 <> n")
 
 
+def unfit(log: DataFrame) -> DataFrame:
+    """What can't be taken in: committed blocks without an outcome, and the lowest height of segments with holes."""
+    missing = log.filter("side = 'new' AND changes IS NULL").select("seq", "block_number", "block_hash", F.lit("no outcome").alias("reason"))
+    holes = check_order(log).select("seq", F.col("low").alias("block_number"), F.lit(None).cast("string").alias("block_hash"), F.lit("the segment has holes").alias("reason"))
+    return missing.unionByName(holes)
+
+
+def _new_checkpoint(store: Store, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stream's checkpoint after these events and the rollbacks among them."""
+    known, point = store.read("block_events"), store.read("stream_checkpoints")
+    last = cursors.latest(point).select(cursors.seq_of(F.col("id")).alias("seq")).collect()[0]["seq"]
+    first = events.agg(F.min("seq").alias("seq")).collect()[0]["seq"]
+    if first is not None and first <= last:
+        every = known.unionByName(events)
+        bases = fold.rollback_bases(every)
+        return cursors.advanced(point.filter("false"), cursors.steps_of(every, bases)), bases
+    touched = known.join(events.select("block_hash").distinct(), "block_hash", "left_semi")
+    bases = fold.rollback_bases(touched.unionByName(events)).join(events.select("seq").distinct(), "seq", "left_semi")
+    return cursors.advanced(point, cursors.steps_of(events, bases)), bases
+
+
 def apply_log(store: Store, log: DataFrame, batch: int) -> None:
     """Write what a piece of the log says as one batch."""
     log = log.persist()
     try:
+        bad = unfit(log)
+        if not bad.isEmpty():
+            store.put("quarantine", bad, QUARANTINE, batch)
+            store.commit(QUARANTINE, batch)
+            raise Quarantined(", ".join(f"{r.reason}: {r.block_hash or r.block_number}" for r in bad.orderBy("block_number").limit(5).collect()))
         events = fold.block_events(log)
         new = extract.committed(log)
         seqs = new.select("block_hash", "seq")
@@ -45,6 +75,9 @@ def apply_log(store: Store, log: DataFrame, batch: int) -> None:
         store.put("block_events", events, INGEST, batch)
         done = events.filter("event = 'active'").groupBy("seq").agg(F.max("block_number").alias("finished_height"))
         store.put("finished_heights", done, INGEST, batch)
+        point, bases = _new_checkpoint(store, events)
+        store.put("stream_checkpoints", point, INGEST, batch)
+        store.put("rollbacks", bases, INGEST, batch)
         store.commit(INGEST, batch)
     finally:
         log.unpersist()
@@ -80,20 +113,21 @@ def stage_step(store: Store, settings: Settings, requested: int | None = None, b
     """
     last_batch = store.committed().get(STAGE, -1)
     batch = last_batch + 1 if batch is None else batch
-    events = store.read("block_events")
-    point = cursors.latest(store.read("stage_checkpoints")).collect()[0].asDict()
-    stream = cursors.latest(cursors.checkpoints(events)).collect()[0]
-    seen = point["id"] >> 32
-    base = fold.rollback_bases(events).filter(F.col("seq") > seen).agg(F.min("base").alias("base")).collect()[0]["base"]
-    start = point["compacted_until"] if base is None else min(point["compacted_until"], base)
+    before = cursors.latest(store.read("stage_checkpoints"))
+    seen = before.select(cursors.seq_of(F.col("id")).alias("seq")).collect()[0]["seq"]
+    base = store.read("rollbacks").filter(F.col("seq") > seen).agg(F.min("base").alias("base")).collect()[0]["base"]
+    point = before if base is None else compaction.unwind_cursors(before, base)
+    start = point.collect()[0]["compacted_until"]
+    stream = cursors.latest(store.read("stream_checkpoints")).collect()[0]
     work = compaction.next_batch(start, stream["durable"], requested, settings.max_blocks_per_batch)
     blocks = store.canonical_blocks()
     a, s = compaction.compact(store.physical("account_diffs"), store.physical("storage_diffs"), blocks, work)
-    store.put("address_block_index", a, STAGE, batch)
-    store.put("slot_block_index", s, STAGE, batch)
+    for table, rows, keys in (("address_block_index", a, ["address", "block_number", "block_hash"]), ("slot_block_index", s, ["address", "slot", "block_number", "block_hash"])):
+        store.put(table, compaction.new_rows(rows, store.read(table).filter(compaction.within(work)), keys), STAGE, batch)
+    store.put("index_gaps", compaction.gap_heights(blocks, work).withColumn("found_at", F.lit(batch)), STAGE, batch)
     top = max(seen, stream["id"] >> 32)
-    row = {"id": (top << 32) + batch, "streaming": stream["streaming"], "durable": stream["durable"], "compacted_until": work.end, "proof_indexed_until": min(point["proof_indexed_until"], work.end), "canonical_tip": stream["canonical_tip"], "finished_height": stream["finished_height"]}
-    store.put("stage_checkpoints", store.spark.createDataFrame([row], schemas.STAGE_CHECKPOINTS), STAGE, batch)
+    after = compaction.advance(point, work.end).withColumn("id", F.lit((top << 32) + batch)).withColumns({c: F.lit(stream[c]) for c in ("streaming", "durable", "canonical_tip", "finished_height")})
+    store.put("stage_checkpoints", after, STAGE, batch)
     store.commit(STAGE, batch)
     return work
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
 from forkwise import schemas
 from forkwise.api import ChainApi, as_json
 from forkwise.config import Settings
+from forkwise.errors import Quarantined
 from forkwise.operators import cursors, extract, fold, invariants, proofs
 from forkwise.sources.store import Store
 from forkwise.streaming import ingest
@@ -31,6 +33,18 @@ SCENARIOS = {
 }
 
 
+def last_cursors(events):
+    """Id, streaming, canonical_tip and finished_height after a whole fold."""
+    end = cursors.timeline(events).orderBy("seq", "step", "block_number").collect()[-1]
+    return cursors.latest(cursors.checkpoints(events)).collect()[0].id, end.streaming, end.canonical_tip, end.finished_height
+
+
+def stored_cursors(store):
+    point = cursors.latest(store.read("stream_checkpoints")).collect()[0]
+    assert point.durable == point.streaming
+    return point.id, point.streaming, point.canonical_tip, point.finished_height
+
+
 def frame(spark, items):
     return spark.createDataFrame(log(*items), schemas.CHAIN_LOG)
 
@@ -104,13 +118,14 @@ def test_block_without_outcome_is_an_error(spark):
 
 
 def test_stream_store_index_and_api(spark, tmp_path):
-    settings = Settings(store=str(tmp_path / "store"), max_files_per_trigger=1)
+    settings = Settings(store=str(tmp_path / "store"), max_files_per_trigger=1, poll_seconds=0.5)
     folder, state = str(tmp_path / "log"), str(tmp_path / "state")
 
     def send(items, first):
         rows = [r | {"seq": r["seq"] + first - 1} for r in log(*items)]
         spark.createDataFrame(rows, schemas.CHAIN_LOG).coalesce(1).write.mode("append").parquet(folder)
         ingest.ingest(spark, folder, settings, state, drain=True).awaitTermination()
+        assert stored_cursors(Store(spark, settings.store)) == last_cursors(Store(spark, settings.store).read("block_events"))
 
     send([("commit", [], BASE(1, 2, 3, 4, 5))], 1)
     store = Store(spark, settings.store)
@@ -120,6 +135,12 @@ def test_stream_store_index_and_api(spark, tmp_path):
     # The stage's cursor goes back below the reorganised heights and then up again.
     assert ingest.stage_step(store, settings, 2).end == 2
     assert ingest.indexes(store)[0].count() == 2
+    # The index query is woken at its interval until it has caught up.
+    query = ingest.follow(spark, settings, str(tmp_path / "follow"))
+    deadline = time.time() + 120
+    while ingest.indexes(store)[2] < 5 and time.time() < deadline and query.isActive:
+        time.sleep(0.5)
+    query.stop()
     assert ingest.compact_all(store, settings) == 5
     index, _, top = ingest.indexes(store)
     assert top == 5
@@ -128,9 +149,14 @@ def test_stream_store_index_and_api(spark, tmp_path):
     assert invariants.orphans(store.physical("account_diffs"), store.canonical_blocks()).isEmpty()
 
     api = ChainApi(store)
+    merged = api.cursors().collect()
+    assert api.cursors().filter(~cursors.consistent()).isEmpty()
+    assert [(r.streaming, r.durable, r.compacted_until, r.canonical_tip, r.finished_height) for r in merged] == [(5, 5, 5, 5, 5)] and api.finished_height() == 5
+    assert store.read("index_gaps").isEmpty() and store.read("address_block_index").count() == store.read("address_block_index").distinct().count()
     assert [r.block_number for r in api.account_diffs(addr(13), 1, 5).collect()] == [3]
     assert api.account_diffs(addr(3), 1, 5).isEmpty()
     assert as_json(api.account_diffs, addr(3), 5, 1)[0] == 400
+    assert api.storage_diffs(addr(3), "1", 1, 5).isEmpty() and as_json(api.storage_diffs, addr(3), "x", 1, 5)[0] == 400
     assert as_json(api.account_diffs, "0x12", 1, 5)[0] == 400
     assert as_json(api.receipt_proof, tx(3))[0] == 404
     found = api.receipt_proof(tx(13))
@@ -138,6 +164,40 @@ def test_stream_store_index_and_api(spark, tmp_path):
     assert as_json(api.receipt_proof, tx(13))[0] == 200
 
 
+def test_checkpoints_of_batches_equal_the_whole_fold(spark, tmp_path):
+    """A random log in three batches, the last of which repeats notifications of the first."""
+    rng, items = random.Random(9), []
+    for _ in range(12):
+        low = rng.randint(1, 6)
+        run = range(low, low + rng.randint(1, 3))
+        old, new = ([plain(i, rng.randint(0, 1)) for i in run] for _ in range(2))
+        items.append(rng.choice([("commit", [], new), ("reorg", old, new), ("revert", old, [])]))
+    rows = log(*items)
+    store = Store(spark, str(tmp_path / "store")).create()
+    for batch, part in enumerate(([r for r in rows if r["seq"] <= 5], [r for r in rows if 5 < r["seq"] <= 9], [r for r in rows if r["seq"] > 9 or r["seq"] in (2, 3)])):
+        ingest.apply_log(store, spark.createDataFrame(part, schemas.CHAIN_LOG), batch)
+        events = store.read("block_events").distinct()
+        assert stored_cursors(store) == last_cursors(events)
+        assert {(r.seq, r.base) for r in store.read("rollbacks").collect()} >= {(r.seq, r.base) for r in fold.rollback_bases(events).collect()}
+
+
+def test_unfit_batches_are_quarantined(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store")).create()
+    items = log(("commit", [], [plain(1), plain(2), plain(4)]))
+    items[1]["changes"] = None
+    with pytest.raises(Quarantined, match="no outcome"):
+        ingest.apply_log(store, spark.createDataFrame(items, schemas.CHAIN_LOG), 0)
+    assert {(r.block_number, r.reason) for r in store.read("quarantine").collect()} == {(2, "no outcome"), (1, "the segment has holes")}
+    assert store.read("block_events").isEmpty() and "ingest" not in store.committed()
+
+
+def test_operations_on_the_block_table(spark):
+    blocks = fold.canonical_blocks(fold.block_events(frame(spark, [("commit", [], BASE(1, 2, 3))])))
+    ops = extract.block_ops(spark.createDataFrame([(2, block_hash(2)), (9, block_hash(9, 5))], "block_number bigint, block_hash string"))
+    marked = {r.block_number: r.canonical_status for r in fold.mark_reorged(blocks, ops).collect()}
+    assert marked == {1: "active", 2: "reorged", 3: "active"}
+
+
 def test_proofs_of_many_receipts(spark):
     receipts = [receipt(i, i % 3 > 0, 21000 * (i + 1)) for i in range(130)]
     rows = extract.receipt_artifacts(extract.receipts_of(frame(spark, [("commit", [], [block(1, 0, [], receipts)])])))

@@ -44,3 +44,12 @@ def test_prove_and_verify(n):
 def test_no_receipts():
     with pytest.raises(ValueError):
         trie.tries([[]])
+
+
+def test_public_root():
+    """The receipts root in the header of a public block with one receipt, Ethereum's 46147."""
+    root, gas = bytes.fromhex("96a8e009d2b88b1483e6941e6812e32263b05683fac202abc622a3e31aed1957"), (21000).to_bytes(2, "big")
+    receipt = trie.rlp_items([trie.rlp_bytes(root), trie.rlp_bytes(gas), trie.rlp_bytes(bytes(256)), b"\xc0"])
+    found = trie.tries([[receipt]])[0]
+    assert found.hash.hex() == "fe2bf2a941abf41d72637e5b91750332a30283efd40c424dc522b77e6f0ed8c4"
+    assert trie.verify(found.hash, 0, receipt, trie.proof(found, 0))
