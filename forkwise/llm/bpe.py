@@ -1,6 +1,7 @@
 """BPE encoding and decoding: speculate and verify.
 
-For each new pre-token, greedy longest match proposes tokens. The proposal is what merging
+For each new pre-token, greedy longest match proposes tokens; an automaton of the vocabulary
+runs over all pre-tokens of a batch at once. The proposal is what merging
 in rank order gives if each token is what its own bytes merge to and each adjacent pair is
 compatible, that is, merging the pair's bytes keeps the cut between them. All adjacent pairs
 of a batch are tested together with numpy, by undoing merges on both sides of the cut from
@@ -10,7 +11,8 @@ pre-tokens that fail are merged exactly.
 Defined cases: null text is empty and has no ids; null ids decode to an empty text. Special
 strings inside a text become their own ids, as the tokenizers library does by default.
 Bytes that are no UTF-8 decode to U+FFFD. Repeated rows and null ids each give a row; empty
-tables give empty results; other columns are ignored.
+tables give empty results; other columns are ignored. Texts of any length are taken whole,
+a run of texts of about a million characters at a time.
 """
 
 from __future__ import annotations
@@ -20,18 +22,26 @@ import json
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .pieces import PieceCache, in_parts, stable_pieces
 
 # Fixed value: the pre-tokenizer's pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 NEVER = np.int64(1 << 40)
+#: Stands between pre-tokens; no byte is written so.
+_BETWEEN = "\u0100"
+#: Latin words, of which the pattern makes one pre-token whatever version of Unicode it goes by.
+_LATIN = regex.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: Pre-tokens up to so many bytes are merged by looking through their pairs again and again, longer ones with a heap.
+SHORT = 32
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -69,11 +79,16 @@ class Bpe:
         keys = np.array([a * size + b for a, b in self.merge], np.int64)
         order = np.argsort(keys)
         self._keys, self._ranks, self.size = keys[order], np.array([r for r, _ in self.merge.values()], np.int64)[order], size
-        self.lengths: dict[bytes, list[int]] = {}
-        for n, start in sorted({(len(k), k[:2]) for k in self.id_of}, reverse=True):
-            self.lengths.setdefault(start, []).append(n)
+        self._merge = {a * size + b: m for (a, b), m in self.merge.items()}
+        self._longest = ahocorasick.Automaton()
+        for k, v in self.id_of.items():
+            self._longest.add_word(k.decode("latin-1"), v)
+        self._longest.add_word(_BETWEEN, -1)
+        self._longest.make_automaton()
+        self._byte = [self.id_of[bytes([b])] for b in range(256)]
         self._special = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self._words = regex.compile(PATTERN)
+        self._latin_special = any(_LATIN.search(s) and not regex.search(r"[^A-Za-z]", s) for s in self.special)
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -110,22 +125,29 @@ class Bpe:
             good[t] = ok and good[self.left[t]] and good[self.right[t]]
         return good
 
-    def greedy(self, word: bytes) -> list[int]:
-        out, i, n = [], 0, len(word)
-        while i < n:
-            for size in self.lengths.get(word[i : i + 2], ()):
-                t = self.id_of.get(word[i : i + size]) if i + size <= n else None
-                if t is not None:
-                    break
-            else:
-                size, t = 1, self.id_of[word[i : i + 1]]
-            out.append(t)
-            i += size
-        return out
+    def greedy(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all words, each the longest that matches, and where each word's begin, with the end of the last."""
+        joined = _BETWEEN.join(w.decode("latin-1") for w in words) + _BETWEEN
+        found = np.fromiter((t for _, t in self._longest.iter_long(joined)), np.int64)
+        ends = np.flatnonzero(found < 0)
+        return found[found >= 0], np.concatenate([[0], ends - np.arange(len(ends))])
 
     def exact(self, word: bytes) -> list[int]:
         """Merge the best-ranked pair, leftmost first, until none is left."""
-        ids = [self.id_of[word[i : i + 1]] for i in range(len(word))]
+        ids = [self._byte[b] for b in word]
+        if len(ids) <= SHORT:
+            merge, size = self._merge.get, self.size
+            pairs = [merge(a * size + b) for a, b in zip(ids, ids[1:])]
+            while any(pairs):
+                best = min(filter(None, pairs))
+                at = pairs.index(best)
+                ids[at : at + 2] = [best[1]]
+                del pairs[at]
+                if at:
+                    pairs[at - 1] = merge(ids[at - 1] * size + ids[at])
+                if at < len(pairs):
+                    pairs[at] = merge(ids[at] * size + ids[at + 1])
+            return ids
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
         heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(len(ids) - 1) if (m := self.merge.get((ids[i], ids[i + 1])))]
         heapq.heapify(heap)
@@ -145,26 +167,27 @@ class Bpe:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each pre-token."""
-        out = [self.greedy(w) for w in words]
-        flat = np.array([t for o in out for t in o], np.int64)
-        if not len(flat):
-            return out
-        of = np.repeat(np.arange(len(out)), [len(o) for o in out])
-        wrong = np.zeros(len(out), bool)
+        if not words:
+            return []
+        flat, starts = self.greedy(words)
+        of = np.repeat(np.arange(len(words)), np.diff(starts))
+        wrong = np.zeros(len(words), bool)
         wrong[of[~self.whole[flat]]] = True
         inside = np.flatnonzero(of[1:] == of[:-1])
         pairs, back = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
         fits = self.compatible(pairs // self.size, pairs % self.size)
         wrong[of[inside[~fits[back]]]] = True
-        for i in np.flatnonzero(wrong):
-            out[i] = self.exact(words[i])
-        return out
+        tokens, at = flat.tolist(), starts.tolist()
+        return [self.exact(w) if bad else tokens[a:b] for w, bad, a, b in zip(words, wrong.tolist(), at, at[1:])]
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text, special strings included."""
         plan: list[list] = []
         words: dict[str, int] = {}
         for text in texts:
+            if _LATIN.fullmatch(text) and not self._latin_special:
+                plan.append([words.setdefault(text, len(words))])
+                continue
             parts: list = []
             at = 0
             for m in [*self._special.finditer(text), None]:
@@ -203,17 +226,29 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(made, "doc_id long, ids array<int>")
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> pa.LargeBinaryArray:
+    """The bytes of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    alphabet = byte_alphabet()
+    known = {v: bytes(alphabet[c] for c in k) for k, v in spec["model"]["vocab"].items()} | {a["id"]: a["content"].encode() for a in spec["added_tokens"]}
+    return pa.array([known.get(i, b"") for i in range(max(known) + 1)], pa.large_binary())
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded(doc_id, ids)`` with the decoded text, special strings kept."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, _ = loaded(path)
-        for batch in batches:
+        vocabulary = token_bytes(path)
+        for batch in slices(batches, 256):
             lists = batch.column(1)
-            texts = []
-            for i in range(len(lists)):
-                ids = lists[i].values
-                texts.append(b"".join(map(bpe.bytes_of.__getitem__, ids.to_pylist() if ids is not None else ())).decode("utf-8", "replace"))
+            spelled = vocabulary.take(lists.flatten())
+            _, offsets, data = spelled.buffers()
+            ends = np.frombuffer(offsets, np.int64)[spelled.offset : spelled.offset + len(spelled) + 1]
+            at = ends[np.cumsum([0, *lists.value_lengths().to_pylist()])].tolist()
+            whole = memoryview(data if data is not None else b"")
+            texts = [str(whole[a:b], "utf-8", "replace") for a, b in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(made, "doc_id long, ids array<int>, decoded string")

@@ -24,12 +24,13 @@ def stable_pieces(text: str) -> list[str]:
 
 
 class PieceCache:
-    """What ``learn`` makes of a piece, kept for up to ``limit`` pieces."""
+    """What ``learn`` makes of a piece. Of the pieces known before the last ``limit`` only those that come again are kept."""
 
-    def __init__(self, learn, limit: int = 500_000):
+    def __init__(self, learn, limit: int = 200_000):
         self._learn, self.limit = learn, limit
         self.first: dict = {}
         self.rest: dict = {}
+        self.old: dict = {}
 
     def prepare(self, texts: list[list[str]]) -> None:
         """Make sure that all pieces of these texts are known."""
@@ -37,12 +38,17 @@ class PieceCache:
         for t in texts:
             rest.update(t[1:])
         first = {t[0] for t in texts}
-        for known, pieces, space in ((self.first, first, ""), (self.rest, rest, " ")):
-            new = [p for p in pieces if p not in known]
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = list(pieces)
-            known.update(zip(new, self._learn([space + p for p in new])))
+        if len(self.first) > self.limit // 8:
+            self.first = {}
+        if len(self.rest) > self.limit:
+            self.old, self.rest = self.rest, {}
+        new = [p for p in first if p not in self.first]
+        self.first.update(zip(new, self._learn(new)))
+        rest.difference_update(self.rest)
+        again = rest.intersection(self.old)
+        self.rest.update(zip(again, map(self.old.__getitem__, again)))
+        new = list(rest - again)
+        self.rest.update(zip(new, self._learn([" " + p for p in new])))
 
     def look_up(self, pieces: list[str]):
         yield self.first[pieces[0]]
