@@ -12,8 +12,10 @@ ends with fewer than k pieces that fill no sequence; these are, whatever the inp
 a fixed number (see ``most_left_over``) and are packed together by first fit.
 
 Defined cases: a null text is empty and consists of the end id alone. Repeated rows are
-packed each; a null id is kept. An empty table gives an empty result. Other columns are
-ignored.
+packed each; a null id is kept. Texts of any length are taken whole, about a thousand
+documents at a time, and cut where sequences are full. An empty table gives an empty result.
+Other columns are ignored. Tokenizers whose steps before the merges aren't those of
+``STEPS`` are refused, as words might depend on each other in them.
 """
 
 from __future__ import annotations
@@ -32,11 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_alphabet
-from .common import text_bytes, written
+from .common import discard, small_enough, text_bytes, written
 
 CAPACITY = 2048
 SLACK = 0.02
-SHARDS = 1024
+#: Least number of shards, and pieces of a class that a shard has at most, about.
+SHARDS, IN_SHARD = 1024, 1 << 14
+#: Counts of classes and shards up to this many are broadcast (about 40 MB).
+BROADCAST_COUNTS = 1_000_000
 
 
 def most_left_over(capacity: int) -> int:
@@ -117,7 +122,10 @@ def word_ids(tokenizer_path: str) -> WordIds:
     tokenizer = Tokenizer.from_file(tokenizer_path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return WordIds(tokenizer)
+    ids = WordIds(tokenizer)
+    if not ids.direct:
+        raise ValueError(f"{tokenizer_path}: words can't be told to be independent of each other")
+    return ids
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
@@ -158,14 +166,20 @@ def first_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarra
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to ``pieces(doc_id, start, length, ...)``."""
-    pieces = written(pieces.withColumn("k", F.floor(F.lit(capacity) / F.col("length"))).withColumn("shard", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SHARDS))), "pieces")
-    counts = pieces.groupBy("k", "shard").agg(F.count("*").alias("n"))  # at most classes x SHARDS rows
+    columns = [*pieces.columns, "sequence_id", "offset"]
+    pieces = written(pieces.withColumn("k", F.floor(F.lit(capacity) / F.col("length"))).withColumn("tag", F.monotonically_increasing_id()), "pieces")
+    # By the written tag, so that copies and rows without an id are spread too.
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("tag"), F.lit(max(SHARDS, pieces.count() // IN_SHARD))))
+    counts = pieces.groupBy("k", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("k").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("k", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(Window.partitionBy("k")).alias("of"))
-    nth = F.row_number().over(Window.partitionBy("k", "shard").orderBy("doc_id", "start", "ids_crc32"))
-    numbered = pieces.withColumn("nth", nth - 1).join(F.broadcast(counts), ["k", "shard"]).withColumn("nth", F.col("first") + F.col("nth"))
+    counts = written(counts, "shards")
+    nth = F.row_number().over(Window.partitionBy("k", "shard").orderBy("doc_id", "start", "tag"))
+    numbered = pieces.withColumn("nth", nth - 1).join(F.broadcast(counts) if small_enough(counts, BROADCAST_COUNTS) else counts, ["k", "shard"]).withColumn("nth", F.col("first") + F.col("nth"))
     numbered = numbered.withColumn("bin", F.floor(F.col("nth") / F.col("k")))
-    numbered = written(numbered.withColumn("left_over", (F.col("bin") + 1) * F.col("k") > F.col("of")).drop("shard", "first", "of"), "numbered")
+    numbered = written(numbered.withColumn("left_over", (F.col("bin") + 1) * F.col("k") > F.col("of")).drop("shard", "first", "of", "tag"), "numbered")
+
+    discard(pieces, counts)
 
     earlier = Window.partitionBy("k", "bin").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     # Class numbers take the high bits; class 0 is what was left over.
@@ -178,7 +192,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         pdf["sequence_id"], pdf["offset"] = first_fit(pdf["length"].to_numpy(), capacity)
         return pdf[columns]
 
-    columns = [c for c in pieces.columns if c not in ("k", "shard")] + ["sequence_id", "offset"]
     filled = filled.select(*columns)
     rest = rest.withColumn("together", F.lit(0)).groupBy("together").applyInPandas(fitted, filled.schema)
     return filled.unionByName(rest)
