@@ -100,7 +100,10 @@ def quality_rules(docs: DataFrame, weights: list[int], threshold: int = THRESHOL
 
 def kept_documents(docs: DataFrame, weights: list[int], threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _judged(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "row", weights, threshold).filter("kept").select("row.*")
+    judged = _judged(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)), "row", weights, threshold)
+    # A filter would be pushed below, and work each statistic out again wherever the verdict refers to it.
+    one = F.filter(F.array(F.struct("row", "kept")), lambda x: x["kept"])
+    return judged.select(F.explode(one).alias("x")).select("x.row.*")
 
 
 def _judged(docs: DataFrame, carried: Column, name: str, weights: list[int], threshold: int) -> DataFrame:
