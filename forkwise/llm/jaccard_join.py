@@ -191,7 +191,9 @@ def _sets(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int) -> DataFram
 
 
 def confirmed(docs: DataFrame, ids: DataFrame, pairs: DataFrame, k: int, t: int) -> DataFrame:
-    """The links among ``pairs(a, b)``, which is discarded: binary probes of the larger set with the smaller."""
+    """The links among ``pairs(a, b)``, a written table that is discarded: binary probes of the larger set with the smaller."""
+    if pairs.isEmpty():
+        return pairs
     sets = _sets(docs, ids, pairs, k)
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +332,7 @@ def _groups(docs: DataFrame, k: int, t: int) -> DataFrame:
     links = labels = None
     for turn in range(ROUNDS):
         more = confirmed(docs, ids, written(star_pairs(lists, t, turn), "pairs"), k, t)
-        if turn and more.isEmpty():
+        if more.isEmpty():
             break
         links = more if links is None else links.union(more)
         labels = components(links)
@@ -344,8 +346,10 @@ def _groups(docs: DataFrame, k: int, t: int) -> DataFrame:
     mixed = lists.groupBy("h").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p <> q").select("h")
     more = confirmed(docs, ids, written(heap_pairs(lists.join(mixed, "h"), t).distinct(), "pairs"), k, t)
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = components(more if links is None else links.union(more))
     discard(lists)
+    if labels is None:
+        return ids.withColumn("component", F.col("sid"))
 
     named = nodes.select("sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("component", "sid").alias("component"))
     return ids.join(named, "sid", "left").select("doc_id", "sid", "n", "component")
