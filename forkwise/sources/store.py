@@ -29,7 +29,13 @@ TABLES: dict[str, T.StructType] = {
     "finished_heights": schemas.FINISHED_HEIGHTS,
 }
 COMMITS = "commits"
-KEYS = {"account_diffs": ["block_hash", "address"], "storage_diffs": ["block_hash", "address", "slot"], "receipt_artifacts": ["block_hash", "tx_index"]}
+#: A payload's key. The height, which the hash decides, is among the columns so that filters on it reach the scan below ``latest``.
+KEYS = {"account_diffs": ["block_number", "block_hash", "address"], "storage_diffs": ["block_number", "block_hash", "address", "slot"], "receipt_artifacts": ["block_number", "block_hash", "tx_index"]}
+#: Order within each file, so that row groups that can't hold what is asked for are skipped.
+ORDER = {
+    "account_diffs": ["address", "block_number"], "storage_diffs": ["address", "slot", "block_number"], "receipt_artifacts": ["block_number", "tx_index"],
+    "address_block_index": ["address", "block_number"], "slot_block_index": ["address", "slot", "block_number"],
+}
 
 
 class Store:
@@ -52,7 +58,8 @@ class Store:
 
     def put(self, table: str, rows: DataFrame, writer: str, batch: int) -> None:
         schema = TABLES[table]
-        rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema)).write.mode("overwrite").parquet(f"{self.root}/{table}/writer={writer}/batch={batch}")
+        rows = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+        (rows.sortWithinPartitions(*ORDER[table]) if table in ORDER else rows).write.mode("overwrite").parquet(f"{self.root}/{table}/writer={writer}/batch={batch}")
 
     def commit(self, writer: str, batch: int) -> None:
         one = self.spark.createDataFrame([(writer, batch)], "writer string, committed bigint")
