@@ -4,8 +4,10 @@ A document longer than a chunk is encoded in overlapping chunks with offsets. Tw
 neighbouring chunks are spliced at a boundary in their overlap at which both begin a token
 and which is proven stable: a single space between two characters that aren't white space
 (see ``pieces``). Where the overlap holds none, it is widened, and where the whole chunk
-holds none, the chunk is. A document that fits into one chunk is that chunk. So no more than
-a chunk, or as much of a document as has no boundary, is encoded at a time.
+holds none, the chunk is. So no more than a chunk, or as much of a document as has no
+boundary, is encoded at a time. A document that fits into one chunk needs no splice; its
+tokens are those of the pieces between its stable boundaries, of which a worker remembers
+the counts.
 
 Defined cases: null text is empty and has no tokens; a text without any boundary becomes one
 chunk. Repeated rows and null ids each give a row; empty tables give empty results; other
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import in_parts
+from .pieces import PieceCache, in_parts, stable_pieces
 
 #: Characters.
 CHUNK = 1 << 12
@@ -73,7 +75,7 @@ def spliced_count(encode: Callable, text: str, chunk: int = CHUNK, overlap: int
 
 @lru_cache(maxsize=2)
 def loaded(path: str):
-    """The library's tokenizer; one a Python worker, whichever tasks it runs."""
+    """The library's tokenizer, and the counts of pieces seen so far; one a Python worker, whichever tasks it runs."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,14 +84,14 @@ def loaded(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return tokenizer
+    return tokenizer, PieceCache(lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
 
 def token_counts(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id, n_bytes and n_tokens of every row of ``docs(doc_id, text)``, as the tokenizers library counts them."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = loaded(path)
+        tokenizer, cache = loaded(path)
 
         def encode(part: str):
             return tokenizer.encode(part, add_special_tokens=False)
@@ -97,10 +99,9 @@ def token_counts(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int =
         for batch in batches:
             at = 0
             for part in in_parts([t or "" for t in batch.column(1).to_pylist()], 1 << 18):
-                counts = [spliced_count(encode, t, chunk, overlap) if len(t) > chunk else 0 for t in part]
-                whole = [i for i, t in enumerate(part) if len(t) <= chunk]
-                for i, e in zip(whole, tokenizer.encode_batch_fast([part[i] for i in whole], add_special_tokens=False)):
-                    counts[i] = len(e)
+                pieces = [stable_pieces(t) if len(t) <= chunk else [""] for t in part]
+                cache.prepare(pieces)
+                counts = [sum(cache.look_up(p)) if len(t) <= chunk else spliced_count(encode, t, chunk, overlap) for t, p in zip(part, pieces)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array([len(t.encode()) for t in part], pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
                 at += len(part)
 
