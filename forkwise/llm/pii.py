@@ -424,7 +424,7 @@ def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], tagger
     raw: list[list] = [[] for _ in texts]
     for at in range(0, len(todo), batch):
         part = todo[at : at + batch]
-        chars = np.full((max(b - a for _, a, b in part), len(part)), PAD)
+        chars = np.full((WINDOW, len(part)), PAD)  # as in training, so that no window depends on the others of its batch
         for j, (i, a, b) in enumerate(part):
             chars[: b - a, j] = char_classes(texts[i][a:b])
         tags = tagger.tags(chars)
