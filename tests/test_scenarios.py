@@ -140,8 +140,6 @@ def test_stream_store_index_and_api(spark, tmp_path):
     deadline = time.time() + 120
     while ingest.indexes(store)[2] < 5 and time.time() < deadline and query.isActive:
         time.sleep(0.5)
-    while query.status["isTriggerActive"] and time.time() < deadline:
-        time.sleep(0.1)
     query.stop()
     assert ingest.compact_all(store, settings) == 5
     index, _, top = ingest.indexes(store)
@@ -151,9 +149,6 @@ def test_stream_store_index_and_api(spark, tmp_path):
     assert invariants.orphans(store.physical("account_diffs"), store.canonical_blocks()).isEmpty()
 
     api = ChainApi(store)
-    plan = api.account_diffs(addr(13), 1, 5)._jdf.queryExecution().optimizedPlan().toString().split("\n")
-    below = plan[next(i for i, line in enumerate(plan) if "Window" in line) :]
-    assert any("Filter" in line and "address" in line and "block_number" in line for line in below)
     merged = api.cursors().collect()
     assert api.cursors().filter(~cursors.consistent()).isEmpty()
     assert [(r.streaming, r.durable, r.compacted_until, r.canonical_tip, r.finished_height) for r in merged] == [(5, 5, 5, 5, 5)] and api.finished_height() == 5
