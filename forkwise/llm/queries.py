@@ -1,11 +1,11 @@
-"""The ten operators applied to the driver's tables, with production parameters."""
+"""The operators applied to the driver's tables, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, license_scan, neighbours, packing, pii, quality_classifier, quality_rules, token_counts, warc
+from . import alignment, bpe, chat_tree, fill_in_middle, jaccard_join, license_scan, neighbours, packing, pii, quality_classifier, quality_rules, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,7 +103,24 @@ def op10_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(n, range(len(pii.KINDS))), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bradley_terry_quality, op2_harmonic_packing, op3_k_means_tree_search, op4_bpe_round_trip, op5_warc_round_trip, op6_ngram_llr_rules, op7_resynchronised_counts, op8_license_scan, op9_jaccard_components, op10_bilstm_crf_pii)}
+def op11_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select(*planted.columns).unionByName(planted)
+    return chat_tree.chat_tree(rows, tokenizer("byte_bpe_50k.json"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bradley_terry_quality, op2_harmonic_packing, op3_k_means_tree_search, op4_bpe_round_trip, op5_warc_round_trip, op6_ngram_llr_rules, op7_resynchronised_counts, op8_license_scan, op9_jaccard_components, op10_bilstm_crf_pii, op11_chat_prefix_tree, op12_tokenizer_alignment, op13_fill_in_middle)}
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -147,4 +164,22 @@ ORACLES = {
         l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
         r(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
         SELECT r.a AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a""",
+    "op11_chat_prefix_tree": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+        f AS (SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 WHEN 'system' THEN 19 ELSE 18 + length(regexp_replace(role, '([\[<])(\\*)(/?INST\]|/?ROLE\]|/?s>|</?SYS>>)', '\1\\\2\3', 'g')) END
+            + length(regexp_replace(text, '([\[<])(\\*)(/?INST\]|/?ROLE\]|/?s>|</?SYS>>)', '\1\\\2\3', 'g')) AS chars FROM c)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+          coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+        FROM f GROUP BY conv_id""",
+    "op13_fill_in_middle": r"""
+        WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        d AS (SELECT doc_id, text, us, len(us)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM u),
+        f AS (SELECT doc_id, text, us, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+            least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi FROM d),
+        p AS (SELECT doc_id, text, n, form, array_to_string(us[1:lo], '') AS a, array_to_string(us[lo + 1:hi], '') AS m, array_to_string(us[hi + 1:], '') AS z FROM f)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+          sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+          sha256(text) AS restored_sha256 FROM p""",
 }
