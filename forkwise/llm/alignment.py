@@ -47,7 +47,9 @@ _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
 def pieces_of(text: str) -> list[str]:
-    """``text`` cut before spaces that neither tokenizer joins across; a space before each piece is left out."""
+    """``text`` cut before spaces that neither tokenizer joins across; a space before each piece is left out. A text with B's sign for a space stays whole."""
+    if "\u2581" in text:
+        return [text]
     if "  " in text or text[:1] == " " or text[-1:] == " " or _UNSURE.search(text):
         return _BOUNDARY.split(text)
     return text.split(" ")
