@@ -15,8 +15,8 @@ document's merged lists, but make no list.
 As in DivideSkip, the lists that are merged are so the short ones, and the long ones, which
 could only add to what must come up in the short, are left for later: arrays of the short
 lists' members are joined to the documents in them, and for each document a heap merges its
-arrays and counts how often another document comes up. Those that come up often enough are
-confirmed by binary probes of the whole sorted sets, which hold the long lists' shingles
+arrays and counts how often another document comes up. Pairs that come up often enough, seen
+from both sides together, are confirmed by binary probes of the whole sorted sets, which hold the long lists' shingles
 too. Sizes, and parity masks of the sets, rule out most members of an array before it is
 merged.
 
@@ -226,17 +226,21 @@ def star_pairs(lists: DataFrame, t: int, turn: int) -> DataFrame:
 
 
 def heap_pairs(lists: DataFrame, t: int) -> DataFrame:
-    """Pairs of documents of different components that meet in enough of ``lists``, which is to hold every list's whole members."""
+    """Pairs of documents of different components that meet in enough of ``lists``, which is to hold every list's whole members.
+
+    In some lists one document of a pair looks for the other, in some the other for it, so
+    the meetings of both directions are added up before they are judged.
+    """
     main = lists.groupBy("h", "component").count().groupBy("h").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
     lists = written(lists.join(main, "h").withColumn("own", F.col("component") == F.col("main")), "divided")
 
     # Blocks of lists, and documents outside of a list's largest component, which look through them.
     blocks = F.ceil(F.col("size") / BLOCK)
-    member = F.struct("sid", "n", "m1", "m2", "component")
-    arrays = lists.groupBy("h", "own", F.pmod(F.xxhash64("sid"), blocks).alias("block")).agg(F.collect_list(member).alias("list")).select("h", "own", "list")
-    few = F.ceil(F.sum("size") / MERGED).alias("parts")
-    seekers = lists.filter("NOT own").select("h", "sid", "n", "m1", "m2", "component")
-    seekers = seekers.join(lists.groupBy("sid").agg(few), "sid").select("h", *(F.col(c).alias("x" + c) for c in ("sid", "n", "m1", "m2", "component")), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
+    each = lists.groupBy("sid").agg(F.ceil(F.sum("size") / MERGED).alias("parts"), F.max(~F.col("own")).alias("seeks"))
+    both = lists.join(each, "sid")
+    member = F.struct("sid", "n", "m1", "m2", "component", "seeks")
+    arrays = both.groupBy("h", "own", F.pmod(F.xxhash64("sid"), blocks).alias("block")).agg(F.collect_list(member).alias("list")).select("h", "own", "list")
+    seekers = both.filter("NOT own").select("h", *(F.col(c).alias("x" + c) for c in ("sid", "n", "m1", "m2", "component")), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
 
     def near(y: Column) -> Column:
         bits = F.bit_count(F.col("xm1").bitwiseXOR(y["m1"])) + F.bit_count(F.col("xm2").bitwiseXOR(y["m2"]))
@@ -244,26 +248,29 @@ def heap_pairs(lists: DataFrame, t: int) -> DataFrame:
         turn = F.col("own") | (y["sid"] < F.col("xsid"))
         return turn & (y["component"] != F.col("xcomponent")) & alike & (F.pmod(F.xxhash64(y["sid"]), F.col("parts")) == F.col("part"))
 
-    run = F.array_sort(F.transform(F.filter("list", near), lambda y: F.struct(y["sid"], y["n"])))
+    run = F.array_sort(F.transform(F.filter("list", near), lambda y: F.struct(y["sid"], y["n"], y["seeks"])))
     runs = seekers.join(arrays, "h").select("xsid", "xn", "part", F.explode(F.filter(F.array(run), lambda r: F.size(r) > 0)).alias("run"))  # without the empty ones
     runs = runs.groupBy("xsid", "xn", "part").agg(F.collect_list("run").alias("runs")).select("xsid", "xn", "runs")
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, int, int]] = []
             for own, n, mine in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
                 flat = mine.values
                 ends = flat.offsets.to_pylist()
                 members = flat.flatten()
-                sids, sizes = (members.field(i).to_pylist() for i in range(2))
-                size_of = dict(zip(sids, sizes))
+                sids, sizes, seek = (members.field(i).to_pylist() for i in range(3))
+                known = dict(zip(sids, zip(sizes, seek)))
                 first = ends[0]
                 for sid, run in groupby(heapq.merge(*(sids[a - first : b - first] for a, b in zip(ends, ends[1:])))):
-                    if sum(1 for _ in run) >= least_met(n, size_of[sid], t):
-                        out.append((min(sid, own), max(sid, own)))
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+                    met, (size, seeks) = sum(1 for _ in run), known[sid]
+                    need = least_met(n, size, t)
+                    if seeks or met >= need:  # one that never seeks has no meetings to add
+                        out.append((min(sid, own), max(sid, own), met, need))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in range(4)], ["a", "b", "met", "need"])
 
-    return runs.mapInArrow(merged, "a long, b long")
+    meetings = runs.mapInArrow(merged, "a long, b long, met long, need long")
+    return meetings.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("need").alias("need")).filter("met >= need").select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, shingle_words: int = 4, threshold: int = 85) -> DataFrame:
@@ -344,7 +351,7 @@ def _groups(docs: DataFrame, k: int, t: int) -> DataFrame:
 
     # Pass two: what lies in different components.
     mixed = lists.groupBy("h").agg(F.min("component").alias("p"), F.max("component").alias("q")).filter("p <> q").select("h")
-    more = confirmed(docs, ids, written(heap_pairs(lists.join(mixed, "h"), t).distinct(), "pairs"), k, t)
+    more = confirmed(docs, ids, written(heap_pairs(lists.join(mixed, "h"), t), "pairs"), k, t)
     if not more.isEmpty():
         labels = components(more if links is None else links.union(more))
     discard(lists)
