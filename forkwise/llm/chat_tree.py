@@ -50,7 +50,7 @@ SEQUENCE = 1 << 16
 #: Of conversations, the part that copies of one must make up to be spread.
 HOT_PART = 100_000
 #: Rows that are sent on together.
-ROWS = 256
+ROWS = 512
 
 # What stands before and after a turn's text, by role.
 TURNS = {"user": ("[INST] ", " [/INST]"), "assistant": (" ", "</s>"), "system": ("<<SYS>>\n", "\n<</SYS>>\n\n")}
@@ -118,10 +118,15 @@ def _in_rows(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     for b in batches:
         for at in range(0, b.num_rows, ROWS):
-            yield from zip(*(c.to_pylist() for c in b.slice(at, ROWS).columns))
+            yield list(zip(*(c.to_pylist() for c in b.slice(at, ROWS).columns)))
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for block in _blocks(batches):
+        yield from block
 
 
 _TURN = pa.schema([("conv_id", pa.int64()), ("key", pa.int64()), ("depth", pa.int32()), ("node", pa.binary()), ("role", pa.string()), ("text", pa.string()), ("chars", pa.int64())])
@@ -191,17 +196,18 @@ def segments_of(turns: DataFrame, plan: DataFrame, path: str) -> DataFrame:
         def each() -> Iterator[tuple]:
             own, segment, offset = None, 0, 0
             line: list[tuple[list[tuple[int, int]], int]] = []  # of each turn on the path: spans up to it, and tokens
-            for sequence, depth, role, text, repeated, leaf in _each(batches):
-                if sequence != own:
-                    own, segment, offset, line = sequence, 0, 0, []
-                del line[depth - 1 :]
-                spans, position = line[-1] if line else ([], 0)
-                parts = [encoded(cache, [x])[0] if x else np.empty(0, np.int32) for x in formatted(role, text)]
-                ids = np.concatenate(parts)
-                begins, ends = (len(parts[0]), len(parts[0]) + len(parts[1])) if role == "assistant" else (0, 0)
-                yield sequence, segment, ids, offset, position, begins, ends, [{"start": s, "end": e} for s, e in spans], repeated, leaf
-                line.append((joined_spans(spans, offset, offset + len(ids)), position + len(ids)))
-                segment, offset = segment + 1, offset + len(ids)
+            for block in _blocks(batches):
+                said = iter(encoded(cache, [x for _, _, role, text, *_ in block for x in formatted(role, text)]))
+                for (sequence, depth, role, _, repeated, leaf), parts in zip(block, zip(said, said, said)):
+                    if sequence != own:
+                        own, segment, offset, line = sequence, 0, 0, []
+                    del line[depth - 1 :]
+                    spans, position = line[-1] if line else ([], 0)
+                    ids = np.concatenate(parts)
+                    begins, ends = (len(parts[0]), len(parts[0]) + len(parts[1])) if role == "assistant" else (0, 0)
+                    yield sequence, segment, ids, offset, position, begins, ends, [{"start": s, "end": e} for s, e in spans], repeated, leaf
+                    line.append((joined_spans(spans, offset, offset + len(ids)), position + len(ids)))
+                    segment, offset = segment + 1, offset + len(ids)
 
         yield from _in_rows(each(), _SEGMENT)
 
