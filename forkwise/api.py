@@ -1,6 +1,8 @@
 """The read API: ranges, receipts with proofs, and health.
 
-Reads return DataFrames; ``as_json`` gives what a service would send. Errors are typed.
+Reads return DataFrames; ``as_json`` gives what a service would send. Errors are typed. A
+range goes in by the index as far as it stands, and above it by the status of blocks. Every
+read is of one version of the store.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from .config import Settings
 from .errors import ApiError, BadRequest
 from .operators import cursors, proofs, reads
 from .sources.store import Store
+from .streaming import ingest
 
 
 class ChainApi:
@@ -25,19 +28,40 @@ class ChainApi:
             raise BadRequest(f"not an address: {address}")
         return address.lower()
 
+    def _range(self, table: str, index: str, low: int, high: int, **asked: str) -> DataFrame:
+        """Canonical rows of one key from ``low`` to ``high``, by height."""
+        low, high = reads.checked_range(low, high)
+        store, there = self.store.pinned(), F.lit(True)
+        for column, value in asked.items():
+            there = there & (F.col(column) == value)
+        top = ingest.indexed_until(store)
+        found = []
+        if low <= top:
+            named = store.read(index, low, min(high, top), with_bucket=True).filter(there)
+            rows = store.physical(table, low, min(high, top), there, with_bucket=True)
+            found.append(reads.by_index(rows, named, list(asked)).drop("bucket"))
+        if high > top:
+            low = max(low, top + 1)
+            found.append(reads.account_history(store.physical(table, low, high, there), store.canonical_blocks(low, high)))
+        return (found[0] if len(found) == 1 else found[0].unionByName(found[1])).orderBy("block_number")
+
     def account_diffs(self, address: str, from_block: int, to_block: int) -> DataFrame:
-        return reads.account_diff_range(self.store.physical("account_diffs"), self.store.canonical_blocks(), self._address(address), from_block, to_block)
+        return self._range("account_diffs", "address_block_index", from_block, to_block, address=self._address(address))
 
     def storage_diffs(self, address: str, slot: str, from_block: int, to_block: int) -> DataFrame:
         if not slot.isdigit():
             raise BadRequest(f"not a slot: {slot}")
-        return reads.storage_diff_range(self.store.physical("storage_diffs"), self.store.canonical_blocks(), self._address(address), str(int(slot)), from_block, to_block)
+        return self._range("storage_diffs", "slot_block_index", from_block, to_block, address=self._address(address), slot=str(int(slot)))
 
     def receipt_proof(self, tx_hash: str) -> dict:
-        receipts = self.store.physical("receipt_artifacts")
+        """The filter on the hash reaches the files' Bloom filters; the block's other receipts come from its bucket only."""
+        store, known = self.store.pinned(), None
         if self.settings.require_compacted:
-            receipts = receipts.filter(F.col("block_number") <= cursors.latest(self.store.read("stage_checkpoints")).collect()[0]["compacted_until"])
-        return proofs.proof_by_tx_hash(receipts, self.store.canonical_blocks(), tx_hash)
+            known = cursors.latest(store.read("stage_checkpoints")).collect()[0]["compacted_until"]
+        found = store.physical("receipt_artifacts", high=known, where=F.col("tx_hash") == tx_hash.lower())
+        heights = [r["block_number"] for r in found.select("block_number").distinct().collect()]  # of the branches that hold it
+        receipts = store.physical("receipt_artifacts", min(heights, default=0), max(heights, default=0))
+        return proofs.proof_by_tx_hash(receipts.filter(F.col("block_number").isin(heights)), store.canonical_blocks(), tx_hash)
 
     def cursors(self) -> DataFrame:
         """One row of all cursors, those of the stream and of the index side."""
@@ -47,6 +71,10 @@ class ChainApi:
         """Height that the stream's source may forget up to; rollbacks lower it."""
         return cursors.latest(self.store.read("stream_checkpoints")).collect()[0]["finished_height"]
 
+    def finished_heights(self) -> DataFrame:
+        """What each notification that commits has reported as finished, in their order."""
+        return self.store.read("finished_heights").distinct().orderBy("seq")
+
     def health(self) -> dict:
         return {"status": "ok"}
 

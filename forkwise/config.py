@@ -12,6 +12,8 @@ class Settings:
     max_blocks_per_batch: int = 1000
     max_files_per_trigger: int = 100
     require_compacted: bool = False
+    log_format: str = "parquet"  # or "json", a notification's block on each line
+    heights_per_bucket: int = 1000
 
     @property
     def poll_interval(self) -> str:

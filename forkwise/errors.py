@@ -25,3 +25,7 @@ class Corrupt(ApiError):
 
 class Quarantined(RuntimeError):
     """A batch of the log that can't be taken in; its store has a quarantine row for each cause."""
+
+
+class Damaged(RuntimeError):
+    """Rows that no batch may hold; nothing of the batch has been published."""

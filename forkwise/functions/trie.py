@@ -81,6 +81,15 @@ def _encode(node: Node) -> bytes:
     return rlp_items([*(node.children[n].reference() if n in node.children else b"\x80" for n in "0123456789abcdef"), b"\x80"])
 
 
+#: Root of a trie that holds nothing: the hash of an empty string's encoding.
+EMPTY_ROOT = keccak256(b"\x80")
+
+
+def root_hash(receipts: list[bytes]) -> bytes:
+    """Root of one block's receipts, of which there may be none."""
+    return tries([receipts])[0].hash if receipts else EMPTY_ROOT
+
+
 def tries(blocks: list[list[bytes]]) -> list[Node]:
     """Hashed trie of each block's encoded receipts, which are in the order of their index."""
     roots = []

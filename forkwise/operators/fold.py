@@ -17,27 +17,56 @@ from ..functions import scalars as X
 OLD, NEW = 0, 1
 
 
-def block_events(log: DataFrame) -> DataFrame:
-    """seq, phase, kind, block_number, block_hash, parent_hash and event of each block of the log, once each."""
+def block_events_of(log: DataFrame) -> DataFrame:
+    """seq, phase, kind, block_number, block_hash, parent_hash and event of each row of the log."""
     kind = X.strict_enum(F.col("kind"), ("commit", "reorg", "revert"))
     new = X.strict_enum(F.col("side"), ("old", "new")) == "new"
-    rows = log.select("seq", F.when(new, NEW).otherwise(OLD).alias("phase"), kind.alias("kind"), "block_number", "block_hash", "parent_hash", F.when(new, "active").otherwise("reorged").alias("event"))
-    return rows.dropDuplicates(["seq", "phase", "block_hash"])
+    return log.select("seq", F.when(new, NEW).otherwise(OLD).alias("phase"), kind.alias("kind"), "block_number", "block_hash", "parent_hash", F.when(new, "active").otherwise("reorged").alias("event"))
+
+
+def block_events(log: DataFrame) -> DataFrame:
+    """``block_events_of`` without repeated deliveries."""
+    return block_events_of(log).dropDuplicates(["seq", "phase", "block_hash"])
+
+
+def status_rows(events: DataFrame) -> DataFrame:
+    """Events in the shape of the status table: what each says of its block by itself."""
+    new = F.col("event") == "active"
+    return events.select("block_number", "block_hash", "seq", "phase", "event", *(F.when(new, F.col(c)).alias(a) for c, a in (("seq", "active_seq"), ("phase", "active_phase"), ("parent_hash", "parent_hash"))))
+
+
+def merged_status(rows: DataFrame) -> DataFrame:
+    """One row for each block hash: its last event, and the last that made it active. Merging is associative, so a snapshot and later rows give what all events give."""
+    last, active = F.struct("seq", "phase"), F.struct("active_seq", "active_phase")
+    committed = F.col("active_seq").isNotNull()
+    out = rows.groupBy("block_hash").agg(
+        F.max(F.struct("seq", "phase", "event")).alias("l"),
+        F.max_by(F.when(committed, F.struct("block_number", "active_seq", "active_phase", "parent_hash")), F.when(committed, active)).alias("a"),
+        F.max_by("block_number", last).alias("n"),
+    )
+    return out.select(F.coalesce("a.block_number", "n").alias("block_number"), "block_hash", "l.seq", "l.phase", "l.event", "a.active_seq", "a.active_phase", "a.parent_hash")
+
+
+def blocks_of(status: DataFrame) -> DataFrame:
+    """The block table of merged status rows; hashes that were never committed are left out."""
+    rows = status.filter("active_seq IS NOT NULL").select("block_number", "block_hash", "parent_hash", F.col("event").alias("canonical_status"))
+    return rows.select("*", F.lit(None).cast("boolean").alias("finalized_hint"), F.lit(None).cast("bigint").alias("derived_checkpoint_id"))
+
+
+def status_of_blocks(blocks: DataFrame) -> DataFrame:
+    """Status rows of a block table that was kept elsewhere; any event of a log is later."""
+    first = F.lit(-1).cast("bigint")
+    return blocks.select("block_number", "block_hash", first.alias("seq"), F.lit(NEW).alias("phase"), F.col("canonical_status").alias("event"), first.alias("active_seq"), F.lit(NEW).alias("active_phase"), "parent_hash")
 
 
 def status_after(events: DataFrame) -> DataFrame:
     """One row for each block hash that was ever committed, with its status after all events."""
-    last = F.struct("seq", "phase")
-    rows = events.groupBy("block_hash").agg(
-        F.max_by("event", last).alias("canonical_status"),
-        F.max_by(F.when(F.col("event") == "active", F.struct("block_number", "parent_hash")), F.when(F.col("event") == "active", last)).alias("block"),
-    )
-    return rows.filter("block IS NOT NULL").select(F.col("block.block_number").alias("block_number"), "block_hash", F.col("block.parent_hash").alias("parent_hash"), "canonical_status")
+    return blocks_of(merged_status(status_rows(events))).select("block_number", "block_hash", "parent_hash", "canonical_status")
 
 
 def canonical_blocks(events: DataFrame) -> DataFrame:
     """``status_after`` in the shape of the block table."""
-    return status_after(events).select("*", F.lit(None).cast("boolean").alias("finalized_hint"), F.lit(None).cast("bigint").alias("derived_checkpoint_id"))
+    return blocks_of(merged_status(status_rows(events)))
 
 
 def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -41,6 +41,12 @@ def roots(receipts: DataFrame) -> DataFrame:
     return by_block(receipts).select("block_number", "block_hash", "encoded").mapInArrow(made, "block_number long, block_hash string, receipts_root string, n_receipts long")
 
 
+def roots_of_blocks(blocks: DataFrame, receipts: DataFrame) -> DataFrame:
+    """block_number, block_hash, receipts_root and n_receipts of every block; one without receipts has the root of the empty trie."""
+    out = blocks.select("block_number", "block_hash").join(roots(receipts), ["block_number", "block_hash"], "left")
+    return out.select("block_number", "block_hash", F.coalesce("receipts_root", F.lit(_hex(trie.EMPTY_ROOT))).alias("receipts_root"), F.coalesce("n_receipts", F.lit(0).cast("bigint")).alias("n_receipts"))
+
+
 def anchored(receipts: DataFrame) -> DataFrame:
     """``receipts`` with the root of their block as anchor."""
     own = roots(receipts).select("block_hash", "receipts_root")

@@ -74,6 +74,15 @@ def storage_diff_range(storage: DataFrame, blocks: DataFrame, address: str, slot
     return _ranged(rows, blocks, low, high).orderBy("block_number")
 
 
+def by_index(rows: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that an index names by ``keys``, block and bucket; it names canonical blocks only.
+
+    The index rows of one address are the way in: where Spark broadcasts them, their buckets
+    decide while it runs which files of the diffs are opened.
+    """
+    return rows.join(index, [*keys, "bucket", "block_number", "block_hash"], "left_semi").select(*rows.columns)
+
+
 def account_history(accounts: DataFrame, blocks: DataFrame) -> DataFrame:
     """All canonical account changes: the range read over all addresses and heights."""
     return accounts.join(active_blocks(blocks).select("block_number", "block_hash"), ["block_number", "block_hash"], "left_semi")
@@ -157,4 +166,4 @@ def decoded_ops(rows: DataFrame) -> DataFrame:
 
 
 #: What a store can take over.
-DECODERS = {"account_diffs": decoded_accounts, "storage_diffs": decoded_storage, "receipt_artifacts": decoded_receipts}
+DECODERS = {"block_status": decoded_blocks, "account_diffs": decoded_accounts, "storage_diffs": decoded_storage, "receipt_artifacts": decoded_receipts}

@@ -42,7 +42,9 @@ SLOT_BLOCK_INDEX = fields("address string, slot string, block_number bigint, blo
 BLOCK_EVENTS = fields("seq bigint, phase int, kind string, block_number bigint, block_hash string, parent_hash string, event string")
 ROLLBACKS = fields("seq bigint, base bigint")
 GAPS = fields("block_number bigint, found_at bigint")
-QUARANTINE = fields("seq bigint, block_number bigint, block_hash string, reason string")
+QUARANTINE = fields("seq bigint, block_number bigint, block_hash string, reason string, file string, line string")
+RESOLUTIONS = fields("line string")
+BLOCK_STATUS = fields("block_number bigint, block_hash string, seq bigint, phase int, event string, active_seq bigint, active_phase int, parent_hash string")
 FINISHED_HEIGHTS = fields("seq bigint, finished_height bigint")
 
 CURSORS = ("streaming", "durable", "compacted_until", "proof_indexed_until", "canonical_tip", "finished_height")

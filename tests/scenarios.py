@@ -39,5 +39,8 @@ def plain(n: int, fork: int = 0):
 
 
 def log(*items):
-    """Rows of (kind, old blocks, new blocks) notifications, numbered from 1."""
+    """Rows of (kind, old blocks, new blocks) notifications, numbered from 1. A segment that a kind must have is not empty."""
+    for kind, old, new in items:
+        if kind != "commit" and not old or kind != "revert" and not new:
+            raise ValueError(f"a {kind} without blocks")
     return [{"seq": seq, "kind": kind, "side": side, **b} for seq, (kind, old, new) in enumerate(items, 1) for side, blocks in (("old", old), ("new", new)) for b in blocks]

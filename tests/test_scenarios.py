@@ -12,6 +12,7 @@ from forkwise.api import ChainApi, as_json
 from forkwise.config import Settings
 from forkwise.errors import Quarantined
 from forkwise.operators import cursors, extract, fold, invariants, proofs
+from forkwise.sources import audit
 from forkwise.sources.store import Store
 from forkwise.streaming import ingest
 from scenarios import addr, block, block_hash, change, log, plain, receipt, tx
@@ -131,10 +132,14 @@ def test_stream_store_index_and_api(spark, tmp_path):
     store = Store(spark, settings.store)
     assert ingest.compact_all(store, settings, 3) == 3
     assert ingest.indexes(store)[0].count() == 3
+    before = store.pinned()
     send([("reorg", BASE(3, 4, 5), FORK(3, 4, 5))], 2)
     # The stage's cursor goes back below the reorganised heights and then up again.
+    assert ingest.indexes(store)[2] == 2  # what the reorganisation took back is not shown, though it is still there
+    assert store.read("address_block_index").count() == 3
     assert ingest.stage_step(store, settings, 2).end == 2
-    assert ingest.indexes(store)[0].count() == 2
+    assert ingest.indexes(store)[0].count() == 2 and store.read("address_block_index").count() == 2  # now it is gone
+    assert before.read("address_block_index").count() == 3 and before.canonical_blocks().count() == 5  # an earlier reader keeps its version
     # The index query is woken at its interval until it has caught up.
     query = ingest.follow(spark, settings, str(tmp_path / "follow"))
     deadline = time.time() + 120
@@ -152,6 +157,7 @@ def test_stream_store_index_and_api(spark, tmp_path):
     merged = api.cursors().collect()
     assert api.cursors().filter(~cursors.consistent()).isEmpty()
     assert [(r.streaming, r.durable, r.compacted_until, r.canonical_tip, r.finished_height) for r in merged] == [(5, 5, 5, 5, 5)] and api.finished_height() == 5
+    assert audit.check_all(store).filter("violations > 0").isEmpty()
     assert store.read("index_gaps").isEmpty() and store.read("address_block_index").count() == store.read("address_block_index").distinct().count()
     assert [r.block_number for r in api.account_diffs(addr(13), 1, 5).collect()] == [3]
     assert api.account_diffs(addr(3), 1, 5).isEmpty()
@@ -203,3 +209,15 @@ def test_proofs_of_many_receipts(spark):
     rows = extract.receipt_artifacts(extract.receipts_of(frame(spark, [("commit", [], [block(1, 0, [], receipts)])])))
     checked = proofs.verified(proofs.proofs(rows)).collect()
     assert len(checked) == 130 and all(r.verified for r in checked)
+
+
+def test_roots_of_blocks_without_receipts(spark):
+    """A block without receipts has the public root of the empty trie; a segment without blocks is refused."""
+    rows = frame(spark, [("commit", [], [block(1, 0, [], [receipt(1)]), block(2)])])
+    receipts = extract.receipt_artifacts(extract.receipts_of(rows))
+    got = {r.block_number: (r.receipts_root, r.n_receipts) for r in proofs.roots_of_blocks(fold.canonical_blocks(fold.block_events(rows)), receipts).collect()}
+    assert got[2] == ("0x56e81f171bcc55a6ff8345e692c0f86e5b48e01b996cadc001622fb5e363b421", 0)
+    assert got[1] == (proofs.roots(receipts).collect()[0].receipts_root, 1)
+    for items in (("commit", [], []), ("reorg", [], BASE(1)), ("reorg", BASE(1), []), ("revert", [], [])):
+        with pytest.raises(ValueError, match="without blocks"):
+            log(items)

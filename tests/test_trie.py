@@ -53,3 +53,53 @@ def test_public_root():
     found = trie.tries([[receipt]])[0]
     assert found.hash.hex() == "fe2bf2a941abf41d72637e5b91750332a30283efd40c424dc522b77e6f0ed8c4"
     assert trie.verify(found.hash, 0, receipt, trie.proof(found, 0))
+
+
+def plain_root(receipts):
+    """Root hash by the definition, one key and node at a time."""
+
+    def rlp(x):
+        if isinstance(x, bytes):
+            if len(x) == 1 and x[0] < 128:
+                return x
+            body, base = x, 128
+        else:
+            body, base = b"".join(map(rlp, x)), 192
+        if len(body) < 56:
+            return bytes([base + len(body)]) + body
+        n = len(body).to_bytes((len(body).bit_length() + 7) // 8, "big")
+        return bytes([base + 55 + len(n)]) + n + body
+
+    def packed(nibbles, end):
+        flags = [2 * end + 1] if len(nibbles) % 2 else [2 * end, 0]
+        nibbles = [*flags, *nibbles]
+        return bytes(16 * a + b for a, b in zip(nibbles[::2], nibbles[1::2]))
+
+    def node(pairs):
+        """The structure of the trie over (nibbles, value) pairs."""
+        if not pairs:
+            return b""
+        if len(pairs) == 1:
+            return [packed(pairs[0][0], 1), pairs[0][1]]
+        n = 0
+        while all(len(k) > n and k[n] == pairs[0][0][n] for k, _ in pairs):
+            n += 1
+        if n:
+            return [packed(pairs[0][0][:n], 0), named([(k[n:], v) for k, v in pairs])]
+        ways = [named([(k[1:], v) for k, v in pairs if k[:1] == [i]]) for i in range(16)]
+        return [*ways, b"".join(v for k, v in pairs if not k)]
+
+    def named(pairs):
+        own = node(pairs)
+        return own if len(rlp(own)) < 32 else keccak256(rlp(own))
+
+    keys = [rlp(b"" if i == 0 else i.to_bytes((i.bit_length() + 7) // 8, "big")) for i in range(len(receipts))]
+    return keccak256(rlp(node([([h for b in k for h in (b >> 4, b & 15)], v) for k, v in zip(keys, receipts)])))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 15, 16, 17, 127, 128, 129, 256, 257, 300])
+@pytest.mark.parametrize("size", [1, 40])
+def test_roots_equal_the_definition(n, size):
+    """Short receipts are embedded in their parents, longer ones are named by hash."""
+    receipts = [bytes([i % 251]) * (1 + (size + i) % size) + bytes([i // 251]) for i in range(n)]
+    assert trie.root_hash(receipts) == plain_root(receipts)
