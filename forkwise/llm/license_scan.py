@@ -1,19 +1,25 @@
 """License scan by conditional compression.
 
 Blocks of text around license words, across line breaks, are laid out in words, so that
-wrapping, comment marks and case make no difference. Every template whose telling words (those
-that name the license or its version) stand in a block is aligned with it: all of its telling
-words must be there in order, and few of the others may differ. The aligned passage is
-compressed alone and with the template as a raw zstandard dictionary, and must shrink by
-LEAST_REDUCTION. The longest template with the fewest differing words stays; the differing
-words are part of the result. Identifiers of SPDX tags are taken as they are written.
+wrapping, comment marks and case make no difference. A block is compressed alone and with each
+template as a raw zstandard dictionary. Templates are ranked by how many bytes the dictionary
+saves, and confirmed in that order by the exact wording: the template is aligned with the block, all of its telling
+words (those that name the license or its version) must be there in order, and few of the
+others may differ. The first that is confirmed stays, with its differing words, unless one that saves
+nearly as much differs in fewer; what stands before and after it is a block again. Long runs of license words are cut into overlapping
+blocks.
+
+A notice that is denied ("is not licensed under ...") is none: a negation in it, or before it
+in the same sentence, rules it out. Of SPDX tags, identifiers of the license list
+and LicenseRef ones are taken as they are written, and others are not; a tag has no
+template, and so no reduction.
 
 What is found are notices, tags, and license texts by their title or by their grant and
 conditions, in the wordings of TEMPLATES; other licenses only by SPDX tag.
 
 Defined cases: null and empty texts hold no license. Repeated rows and null ids each give a
-row; of equal matches that overlap the longer template stays; empty tables give empty
-results; other columns are ignored.
+row; of matches that overlap the longer template stays, of equal ones the first; empty tables
+give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -76,19 +82,51 @@ TEMPLATES = [
       for name, kind in (("CC-BY-4.0", "Attribution"), ("CC-BY-SA-4.0", "Attribution-ShareAlike"), ("CC-BY-NC-4.0", "Attribution-NonCommercial"), ("CC-BY-ND-4.0", "Attribution-NoDerivatives"), ("CC-BY-NC-SA-4.0", "Attribution-NonCommercial-ShareAlike"), ("CC-BY-NC-ND-4.0", "Attribution-NonCommercial-NoDerivatives"))),
     ("CC0-1.0", "CC0 1.0 Universal"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Apache-2.0", "under the Apache 2.0 license"),
+    ("Apache-2.0", "Licensed under the Apache License 2.0"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "under the terms of the MIT license"),
+    *((name, f"{short} or later") for name, short in (("GPL-3.0", "GPLv3"), ("GPL-2.0", "GPLv2"), ("LGPL-3.0", "LGPLv3"), ("LGPL-2.1", "LGPLv2.1"), ("AGPL-3.0", "AGPLv3"))),
+    *((name, f"licensed under the {short}") for name, short in (("GPL-3.0", "GPLv3"), ("GPL-2.0", "GPLv2"), ("LGPL-3.0", "LGPLv3"), ("LGPL-2.1", "LGPLv2.1"), ("AGPL-3.0", "AGPLv3"))),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("EPL-1.0", "made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License v. 2.0"),
 ]
 # Words that tell licenses from one another.
-NAMES = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "by-sa", "by-nc", "by-nd", "cc0", "redistribution", "hereby", "compliance", "endorse", "fee", "unencumbered", "commons", "attribution", "attribution-sharealike", "attribution-noncommercial", "attribution-noderivatives", "attribution-noncommercial-sharealike", "attribution-noncommercial-noderivatives", "by-nc-sa", "by-nc-nd"}
+NAMES = {"apache", "mit", "gnu", "general", "lesser", "affero", "public", "mozilla", "cc", "by", "by-sa", "by-nc", "by-nd", "cc0", "redistribution", "hereby", "compliance", "endorse", "fee", "unencumbered", "commons", "attribution", "attribution-sharealike", "attribution-noncommercial", "attribution-noderivatives", "attribution-noncommercial-sharealike", "attribution-noncommercial-noderivatives", "by-nc-sa", "by-nc-nd", "gplv2", "gplv3", "lgplv2.1", "lgplv3", "agplv3", "as-is", "boost", "eclipse"}
 # Words that make another license of the template they are not in.
 OTHERS = {"lesser", "affero"}
+# Words that begin a notice's own sentence where they are capitalised, words that deny what they stand before (the last ones as they are cut at an apostrophe), and words that may stand between.
+BEGINS = {"licensed", "released", "distributed", "permission", "redistribution", "this"}
+DENIALS = {"not", "no", "never", "nor", "neither", "cannot", "isn", "aren", "wasn", "weren", "don", "doesn"}
+BETWEEN = {"t", "be", "been", "being", "yet", "longer", "currently"}
+# Identifiers of the SPDX license list in common use; each may also end with a plus sign.
+SPDX = set(
+    """0BSD AAL AFL-1.1 AFL-1.2 AFL-2.0 AFL-2.1 AFL-3.0 AGPL-1.0 AGPL-1.0-only AGPL-1.0-or-later AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.0 Apache-1.1 Apache-2.0 APSL-1.0
+    APSL-2.0 Artistic-1.0 Artistic-1.0-Perl Artistic-2.0 Beerware BlueOak-1.0.0 BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-3-Clause-LBNL BSD-4-Clause
+    BSD-4-Clause-UC BSD-Source-Code BSL-1.0 BUSL-1.1 bzip2-1.0.6 CAL-1.0 CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-2.0 CC-BY-NC-3.0 CC-BY-NC-4.0 CC-BY-NC-ND-3.0
+    CC-BY-NC-ND-4.0 CC-BY-NC-SA-3.0 CC-BY-NC-SA-4.0 CC-BY-ND-3.0 CC-BY-ND-4.0 CC-BY-SA-2.0 CC-BY-SA-2.5 CC-BY-SA-3.0 CC-BY-SA-4.0 CC-PDDC CC0-1.0 CDDL-1.0 CDDL-1.1 CDLA-Permissive-1.0
+    CDLA-Permissive-2.0 CDLA-Sharing-1.0 CECILL-2.0 CECILL-2.1 CECILL-B CECILL-C CERN-OHL-P-2.0 CERN-OHL-S-2.0 CERN-OHL-W-2.0 ClArtistic CPAL-1.0 CPL-1.0 curl ECL-1.0 ECL-2.0 EFL-2.0
+    Elastic-2.0 EPL-1.0 EPL-2.0 EUPL-1.0 EUPL-1.1 EUPL-1.2 FSFAP FTL GFDL-1.1 GFDL-1.2 GFDL-1.3 GFDL-1.3-only GFDL-1.3-or-later GPL-1.0 GPL-1.0-only GPL-1.0-or-later GPL-2.0 GPL-2.0-only
+    GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later HPND ICU IJG ImageMagick Imlib2 IPL-1.0 ISC JSON LGPL-2.0 LGPL-2.0-only LGPL-2.0-or-later LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later
+    LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later Libpng libtiff LPL-1.02 LPPL-1.3c MIT MIT-0 MIT-CMU MIT-Modern-Variant MPL-1.0 MPL-1.1 MPL-2.0 MPL-2.0-no-copyleft-exception MS-PL MS-RL MulanPSL-2.0
+    NCSA NPL-1.1 NTP ODbL-1.0 ODC-By-1.0 OFL-1.1 OLDAP-2.8 OpenSSL OSL-1.0 OSL-2.1 OSL-3.0 PDDL-1.0 PHP-3.01 PostgreSQL PSF-2.0 Python-2.0 QPL-1.0 Ruby SISSL Sleepycat SSPL-1.0 TCL
+    Unicode-3.0 Unicode-DFS-2016 Unlicense UPL-1.0 Vim W3C WTFPL X11 Xnet Zend-2.0 Zlib zlib-acknowledgement ZPL-2.0 ZPL-2.1""".split()
+)
 
-_TRIGGER = re.compile(r"(?i)licen[cs]|hereby|redistribution|unencumbered|\bCC0?\b")
+_TRIGGER = re.compile(r"(?i)licen[cs]|hereby|redistribution|unencumbered|\bCC0?\b|GPLv\d|as-is")
+_SENTENCE = re.compile(r"[.;:!?]|\n\s*\n")
 _TAG = re.compile(r"(?i)SPDX-License-Identifier:[ \t]*(?=[\w(])")
 _TAGGED = re.compile(r"[ \t(]*([A-Za-z0-9][A-Za-z0-9.+:-]*)(?:[ \t]+(?:WITH|with)[ \t]+[A-Za-z0-9.-]+)?[ \t)]*")
 _OPERATOR = re.compile(r"(?:AND|OR|and|or)\b")
 _WORD = re.compile(r"\w+(?:[-.]\w+)*")
-LEAST_REDUCTION = 0.25
 MOST_DIFFERENT = 0.25
+#: Part of the most saved bytes within which wordings decide, and words of a block at most.
+NEARLY, LONGEST = 0.1, 1024
+LEVEL = 9
 
 
 _VERSION = re.compile(r"v(?=\d)")
@@ -104,7 +142,7 @@ def _telling(word: str) -> bool:
 
 class Scanner:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES):
-        self.alone = zstandard.ZstdCompressor(level=3, write_content_size=False)
+        self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.known = []
         for name, text in templates:
             words = _spoken(_WORD.findall(text))
@@ -114,14 +152,20 @@ class Scanner:
 
     def with_dictionary(self, words: list[str]) -> zstandard.ZstdCompressor:
         data = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        return zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False)
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False)
+
+    def ranked(self, said: list[str]) -> list[tuple[int, int]]:
+        """Bytes that each template saves of a block, and its number, most first; of equal ones the longer template.
 
-    def reduction(self, said: list[str], compressor: zstandard.ZstdCompressor) -> float:
+        None is left out: amid text that repeats itself a short notice saves next to nothing.
+        """
         raw = " ".join(said).encode()
-        return 1 - len(compressor.compress(raw)) / len(self.alone.compress(raw))
+        plain = len(self.alone.compress(raw))
+        saved = [(plain - len(own.compress(raw)), i) for i, (*_, own) in enumerate(self.known)]
+        return sorted(saved, key=lambda x: (-x[0], -len(self.known[x[1]][1]), x[1]))
 
     def blocks(self, text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-        """Runs of words (first, behind the last) around license words, merged where they meet."""
+        """Runs of words (first, behind the last) around license words, merged where they meet; long ones cut into overlapping parts."""
         ends, run = [b for _, b in words], None
         for m in _TRIGGER.finditer(text):
             i = bisect_right(ends, m.start())
@@ -130,10 +174,17 @@ class Scanner:
                 run = (run[0], hi)
             else:
                 if run:
-                    yield run
+                    yield from self.parts(*run)
                 run = (lo, hi)
         if run:
-            yield run
+            yield from self.parts(*run)
+
+    def parts(self, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        """Every notice of a run lies whole in one of its parts."""
+        while hi - lo > LONGEST:
+            yield lo, lo + LONGEST
+            lo += LONGEST - self.reach
+        yield lo, hi
 
     def places(self, block: list[str], words: list[str], known: set[str]) -> Iterator[tuple[int, int]]:
         """Runs of the block outside of which the template can't be: any place of it holds enough of its words."""
@@ -188,43 +239,69 @@ class Scanner:
         for tag in _TAG.finditer(text):
             start, at = tag.start(), tag.end()
             while m := _TAGGED.match(text, at):
-                said = _spoken(_WORD.findall(text[start : m.end(1)]))
-                yield {"license": m[1], "start": start, "end": m.end(1), "reduction": self.reduction(said, self.with_dictionary(said)), "differences": []}
+                if m[1].removesuffix("+") in SPDX or m[1].startswith(("LicenseRef-", "DocumentRef-")):
+                    yield {"license": m[1], "start": start, "end": m.end(1), "reduction": None, "differences": []}
                 more = _OPERATOR.match(text, m.end())
                 following = more and _TAGGED.match(text, more.end())
                 if not following:
                     break
                 start, at = following.start(1), more.end()
 
+    def denied(self, text: str, words: list[tuple[int, int]], said: list[str], first: int, differences: list[str]) -> bool:
+        """Whether a negation stands in a notice, or before it in its sentence."""
+        if any(d[0] == "+" and d[1:] in DENIALS for d in differences):
+            return True
+        if said[first] in BEGINS and text[words[first][0]].isupper():
+            return False
+        for i in range(first - 1, -1, -1):
+            if _SENTENCE.search(text, words[i][1], words[i + 1][0]) or said[i] not in BETWEEN:
+                return i >= 0 and said[i] in DENIALS and not _SENTENCE.search(text, words[i][1], words[i + 1][0])
+        return False
+
+    def winner(self, block: list[str]) -> tuple[int, int, int, int, list[str]] | None:
+        """Template, bytes saved, place and differing words of the first template in rank whose wording is confirmed; of those that save nearly as much, of the one with fewest differing words."""
+        there, least, found = set(block), None, []
+        for saved, number in self.ranked(block):
+            if least is not None and saved < least:
+                break
+            _, template, known, telling, _ = self.known[number]
+            if not telling <= there:
+                continue
+            # Of several places in the block the one with fewest differences.
+            places = [(len(c[2]), p + c[0], p + c[1], c[2]) for p, q in self.places(block, template, known) if (c := self.confirm(block[p:q], template))]
+            if places:
+                n, first, last, differences = min(places)
+                found.append((n, -saved, -len(template), number, first, last, differences))
+                least = saved - max(1.0, NEARLY * saved) if least is None else least
+        if not found:
+            return None
+        _, saved, _, number, first, last, differences = min(found)
+        return number, -saved, first, last, differences
+
     def scan(self, text: str) -> list[dict]:
         if not _TRIGGER.search(text):
             return []
-        found = list(self.tags(text))
         words = [m.span() for m in _WORD.finditer(text)]
         said = _spoken([text[x:y] for x, y in words])
-        todo = list(self.blocks(text, words))
+        todo, found = list(self.blocks(text, words)), []
         while todo:
             lo, hi = todo.pop()
-            block = said[lo:hi]
-            there = set(block)
-            best = None
-            for name, template, known, telling, compressor in self.known:
-                if not telling <= there or len(known & there) < len(known) - MOST_DIFFERENT * len(template):
-                    continue
-                for p, q in self.places(block, template, known):
-                    if c := self.confirm(block[p:q], template):
-                        first, last, differences = p + c[0], p + c[1], c[2]
-                        gain = self.reduction(block[first:last], compressor)
-                        rank = (len(template) - 2 * len(differences), gain)
-                        if gain >= LEAST_REDUCTION and (best is None or rank > best[0]):
-                            best = (rank, name, gain, first, last, differences)
+            best = self.winner(said[lo:hi])
             if best:
-                _, name, gain, first, last, differences = best
+                number, saved, first, last, differences = best
                 first, last = lo + first, lo + last
-                found.append({"license": name, "start": words[first][0], "end": words[last - 1][1], "reduction": gain, "differences": differences})
+                if not self.denied(text, words, said, first, differences):
+                    found.append((-len(self.known[number][1]), first, last, number, saved, differences))
                 # What stands before and after may hold another notice.
                 todo += [(p, q) for p, q in ((lo, first), (last, hi)) if p < q and _TRIGGER.search(text, words[p][0], words[q - 1][1])]
-        return sorted(found, key=lambda m: (m["start"], m["end"]))
+        # Parts overlap, so that a notice may have been found twice, or cut.
+        taken, out = [], list(self.tags(text))
+        for _, first, last, number, saved, differences in sorted(found, key=lambda f: f[:4]):
+            if not any(first < y and x < last for x, y in taken):
+                taken.append((first, last))
+                raw = len(" ".join(said[first:last]))
+                out.append({"license": self.known[number][0], "start": words[first][0], "end": words[last - 1][1], "reduction": saved / raw, "differences": differences})
+        return sorted(out, key=lambda m: (m["start"], m["end"]))
 
 
 MATCHES = "doc_id long, matches array<struct<license: string, start: int, end: int, reduction: double, differences: array<string>>>"

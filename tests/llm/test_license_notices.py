@@ -56,3 +56,52 @@ def test_tags_titles_and_versions():
     assert names("a license to talk\nabout the general public and version 3") == set()
     two = MIT + "\n\n" + wrapped(APACHE, "# ")
     assert names(two) == {"MIT", "Apache-2.0"}
+
+
+def test_denied_and_made_up():
+    assert names("This tool is not licensed under the GNU General Public License, version 3.") == set()
+    assert names("It isn't released under the MIT License.") == set() and names("never licensed under CC BY 4.0.") == set()
+    assert names("This is not mine. Released under the MIT License.") == {"MIT"}
+    assert names("SPDX-License-Identifier: see the file") == set()
+    assert names("SPDX-License-Identifier: LicenseRef-Own AND MIT") == {"LicenseRef-Own", "MIT"}
+    assert names("# SPDX-License-Identifier: GPL-2.0+") == {"GPL-2.0+"}
+
+
+def test_further_wordings():
+    zlib = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"
+    for text, name in (
+        (zlib, "Zlib"), ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "BSL-1.0"),
+        ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "EPL-2.0"),
+        ("All of it comes under the Apache 2.0 license.", "Apache-2.0"), ("Use it under GPLv3 or later.", "GPL-3.0"), ("The MIT License (MIT)\n\nCopyright", "MIT"),
+    ):
+        assert names(text) == {name}, text
+
+
+def test_every_template_wins_its_own_block():
+    """All templates against blocks of all templates: each is found whole, and ranked by what it saves."""
+    scanner = license_scan.Scanner()
+    for name, text in license_scan.TEMPLATES:
+        found = scanner.scan("Some words before. " + text + " Words behind it.")
+        assert name in {m["license"] for m in found}, text
+        said = license_scan._spoken(license_scan._WORD.findall(text))
+        plain = len(scanner.alone.compress(" ".join(said).encode()))
+        saved = [plain - len(known[4].compress(" ".join(said).encode())) for known in scanner.known]
+        assert [n for n, _ in scanner.ranked(said)] == sorted(saved, reverse=True)
+        best = scanner.winner(said)
+        assert best[4] == [] and (scanner.known[best[0]][0] == name or text == license_scan.TEMPLATES[best[0]][1])
+
+
+def test_many_notices_in_one_text():
+    """A run of license words longer than a block: every notice is found once."""
+    notices = [wrapped(MIT, "# ") if i % 3 == 0 else "Released under the MIT License." if i % 3 == 1 else wrapped(APACHE, " * ") for i in range(60)]
+    text = "\n\nSome other words about a license stand here.\n".join(notices)
+    got = license_scan.Scanner().scan(text)
+    assert [m["license"] for m in got] == [("MIT", "MIT", "Apache-2.0")[i % 3] for i in range(60)]
+    assert all(a["end"] <= b["start"] for a, b in zip(got, got[1:]))
+
+
+def test_notice_amid_text_that_repeats_itself():
+    for seed in range(20):
+        rng = random.Random(seed)
+        word = "".join(rng.choice("abcdehst") for _ in range(6))
+        assert names((word + " ") * 150 + "\nReleased under the MIT License.") == {"MIT"}
