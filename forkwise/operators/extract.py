@@ -114,6 +114,13 @@ def segment_net_change(changes: DataFrame, low: int, high: int) -> DataFrame:
     return ends.select("address", old.alias("old"), new.alias("new"), X.change_kind(old, new).alias("change_kind"))
 
 
+def segment_net_slots(slots: DataFrame, low: int, high: int) -> DataFrame:
+    """First value before and last value after of each slot over a range of heights of one branch; slots that end as they began are left out."""
+    rows = slots.filter(F.col("block_number").between(low, high))
+    ends = rows.groupBy("address", "slot").agg(F.min_by("old_value", "block_number").alias("old_value"), F.max_by("new_value", "block_number").alias("new_value"))
+    return ends.filter("NOT (old_value <=> new_value)")
+
+
 def block_summary(blocks: DataFrame, accounts: DataFrame, storage: DataFrame, receipts: DataFrame, *more: str) -> DataFrame:
     """How many rows of each table every block has, and ``more`` columns of the blocks."""
     names = ("account_diffs", "storage_diffs", "receipts")

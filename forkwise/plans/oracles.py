@@ -14,11 +14,13 @@ _TOP = f"(SELECT 1 + max(o_orderkey) // {P.ORDERS_IN_BLOCK} FROM orders)"
 _HEIGHTS = f"(SELECT unnest(range(1::BIGINT, {_TOP} + 1)) AS n) AS t"
 ZERO = f"'{'0x' + '0' * 64}'"
 
-BL = f"""bl AS (SELECT n, 0 AS fork, CASE WHEN n % 10 IN (8, 9) THEN 'reorged' ELSE 'active' END AS st FROM {_HEIGHTS}
-  UNION ALL SELECT n, 1, 'active' FROM {_HEIGHTS} WHERE n % 10 IN (8, 9))"""
+BL = f"""wn AS (SELECT o_orderkey // {P.ORDERS_IN_BLOCK} // 10 AS pair, count(*) FILTER (o_orderstatus = 'F') > count(*) FILTER (o_orderstatus = 'O') AS back
+    FROM orders WHERE (1 + o_orderkey // {P.ORDERS_IN_BLOCK}) % 10 IN (8, 9) GROUP BY ALL),
+  bf AS (SELECT n, f AS fork, coalesce(back, false) AS back FROM {_HEIGHTS} JOIN (VALUES (0), (1)) AS x(f) ON f = 0 OR n % 10 IN (8, 9) LEFT JOIN wn ON pair = (n - 1) // 10),
+  bl AS (SELECT n, fork, back, CASE WHEN n % 10 IN (8, 9) AND (fork = 1) = back THEN 'reorged' ELSE 'active' END AS st FROM bf)"""
 
 CB = f"""{BL}, cb AS (SELECT n AS block_number, {_hash('n', 'fork')} AS block_hash,
-    {_hash('n - 1', 'CASE WHEN n % 10 = 9 THEN fork WHEN n % 10 = 0 THEN 1 ELSE 0 END')} AS parent_hash,
+    {_hash('n - 1', 'CASE WHEN n % 10 = 9 THEN fork WHEN n % 10 = 0 AND NOT back THEN 1 ELSE 0 END')} AS parent_hash,
     st AS canonical_status, CASE WHEN n % 32 = 0 THEN true END AS finalized_hint, NULL::BIGINT AS derived_checkpoint_id, fork FROM bl)"""
 
 _OWN_BRANCH = """((x.st = 'active' AND p.st = 'active') OR (x.st = 'reorged' AND
@@ -51,8 +53,9 @@ SD = f"""sw AS (SELECT b.n, b.fork, b.st, l_suppkey AS a, l_partkey % 16 AS s, c
   sa AS (SELECT n AS block_number, {_hash('n', 'fork')} AS block_hash, '0x' || lower(lpad(to_hex(a), 40, '0')) AS address, s::VARCHAR AS slot, o::VARCHAR AS old_value, v::VARCHAR AS new_value FROM sj),
   sd AS (SELECT * FROM sa WHERE old_value <> new_value)"""
 
-LG = """lg AS (SELECT 2 * (n // 10) AS seq, 'new' AS side, n FROM bl WHERE fork = 0
-    UNION ALL SELECT 2 * (n // 10) + 1, CASE WHEN fork = 0 THEN 'old' ELSE 'new' END, n FROM bl WHERE n % 10 >= 8),
+LG = """lg AS (SELECT 3 * (n // 10) AS seq, 'new' AS side, n FROM bl WHERE fork = 0
+    UNION ALL SELECT 3 * (n // 10) + 1, CASE WHEN fork = 0 THEN 'old' ELSE 'new' END, n FROM bl WHERE n % 10 >= 8
+    UNION ALL SELECT 3 * (n // 10) + 2, CASE WHEN fork = 1 THEN 'old' ELSE 'new' END, n FROM bl WHERE n % 10 >= 8 AND back),
   st AS (SELECT seq, 0 AS step, min(n) - 1 AS b FROM lg WHERE side = 'old' GROUP BY seq UNION ALL SELECT seq, 1, n FROM lg WHERE side = 'new' UNION ALL SELECT seq, 2, max(n) FROM lg WHERE side = 'new' GROUP BY seq),
   sg AS (SELECT *, sum((step = 0)::INT) OVER w AS r, sum((step = 2)::INT) OVER w AS f FROM st WINDOW w AS (ORDER BY seq, step, b ROWS UNBOUNDED PRECEDING)),
   tl AS (SELECT seq, step, CASE step WHEN 0 THEN 'rollback' WHEN 1 THEN 'commit' ELSE 'finish' END AS operation, b AS block_number,
@@ -85,7 +88,7 @@ ORACLES: dict[str, str] = {
     "receipts_for_block": f"WITH {BL}, {RC} SELECT * FROM rc WHERE block_hash = '{Q.fork_hash(Q.HEIGHT, 1)}'",
     "revert_ops_for_block": f"{ALL}, {OPS} SELECT * FROM ops WHERE block_hash = '{Q.fork_hash(Q.HEIGHT, 0)}'",
     "hash_at_height": f"WITH {CB} SELECT n AS block_number, block_hash FROM unnest(range(721, 761)) AS h(n) LEFT JOIN (SELECT * FROM cb WHERE canonical_status = 'active') c ON c.block_number = n",
-    "block_is_canonical": f"WITH {CB} SELECT n AS block_number, {_hash('n', 'f')} AS block_hash, (f = 1) = (n % 10 >= 8) AS is_canonical FROM {_HEIGHTS}, (VALUES (0), (1)) AS x(f)",
+    "block_is_canonical": f"WITH {BL} SELECT t.n AS block_number, {_hash('t.n', 'f')} AS block_hash, coalesce(st = 'active', false) AS is_canonical FROM {_HEIGHTS} CROSS JOIN (VALUES (0), (1)) AS x(f) LEFT JOIN bl ON bl.n = t.n AND fork = f",
     "account_diff_range": f"WITH {CB}, {AD} SELECT * FROM ad WHERE {_LIVE} AND address = '{Q.address(Q.USER)}' AND block_number BETWEEN {Q.LOW} AND {Q.HIGH}",
     "account_history": f"WITH {CB}, {AD} SELECT * FROM ad WHERE {_LIVE}",
     "storage_diff_range": f"WITH {CB}, {SD} SELECT * FROM sd WHERE {_LIVE} AND address = '{Q.address(Q.SUPPLIER)}' AND slot = '{Q.SLOT}' AND block_number BETWEEN {Q.LOW} AND {Q.HIGH}",
@@ -102,8 +105,8 @@ ORACLES: dict[str, str] = {
         WHEN o_custkey % 4 <> o_custkey % 3 OR o_orderkey % 2 <> o_custkey % 2 THEN 'modified' ELSE 'touched' END AS change_kind FROM orders WHERE o_orderkey % 15 <> 0""",
     "storage_noop_filter": f"WITH {BL}, {SD} SELECT address, count(*) AS writes, count(*) FILTER (old_value <> new_value) AS changes FROM sa GROUP BY address",
     "reorg_base": f"WITH {BL}, {LG} SELECT seq, min(n) - 1 AS base, count(*) AS n_live FROM lg WHERE side = 'old' GROUP BY seq",
-    "rlp_index_key": """WITH r AS (SELECT n, lower(to_hex(n)) AS h FROM unnest(range(0::BIGINT, 70000::BIGINT)) AS t(n)), e AS (SELECT n, CASE WHEN length(h) % 2 = 1 THEN '0' || h ELSE h END AS h FROM r)
-        SELECT n AS receipt_index, CASE WHEN n = 0 THEN '80' WHEN n < 128 THEN h ELSE CASE WHEN length(h) = 2 THEN '81' WHEN length(h) = 4 THEN '82' ELSE '83' END || h END AS rlp FROM e""",
+    "rlp_index_key": f"""WITH {BL}, {RC}, k AS (SELECT o_orderkey::BIGINT AS n FROM orders UNION SELECT receipt_index FROM rc), r AS (SELECT n, lower(to_hex(n)) AS h FROM k), e AS (SELECT n, CASE WHEN length(h) % 2 = 1 THEN '0' || h ELSE h END AS h FROM r)
+        SELECT n AS receipt_index, CASE WHEN n = 0 THEN '80' WHEN n < 128 THEN h ELSE to_hex(128 + length(h) // 2) || h END AS rlp FROM e""",
     "fork_hashes": f"WITH {BL} SELECT n AS block_number, fork, {_hash('n', 'fork')} AS block_hash FROM bl",
     "extract_account_diffs": f"WITH {BL}, {AD} SELECT * FROM ad",
     "extract_storage_diffs": f"WITH {BL}, {SD} SELECT * FROM sd",
@@ -128,7 +131,10 @@ ORACLES: dict[str, str] = {
     "compaction_batch": f"WITH {CB}, {AD}, {SD} SELECT address, NULL::VARCHAR AS slot, block_number, block_hash FROM ({_ADDRESS_INDEX}) WHERE {_BATCH} UNION ALL SELECT * FROM ({_SLOT_INDEX}) WHERE {_BATCH}",
     "compaction_gaps": f"SELECT n AS block_number FROM {_HEIGHTS} WHERE n % 97 = 0 AND n > 100 AND n <= 600",
     "index_append": f"WITH {CB}, {AD} {_ADDRESS_INDEX} AND block_number > 300",
-    "cursor_unwind": "SELECT n AS id, least(n * 7 % 701, 355) AS compacted_until, least(n * 5 % 503, 355) AS proof_indexed_until FROM unnest(range(300::BIGINT, 400::BIGINT)) AS t(n)",
+    "cursor_unwind": f"""WITH {BL}, {LG} SELECT seq * 4294967296 + step * 2147483648 + block_number AS id, least(streaming - 3, 2 * {_TOP} // 3) AS compacted_until,
+        least(streaming - 5, 2 * {_TOP} // 3) AS proof_indexed_until FROM tl WHERE step <> 2""",
+    "segment_net_slots": f"""WITH {CB}, {SD}, x AS (SELECT address, slot, arg_min(old_value, block_number) AS old_value, arg_max(new_value, block_number) AS new_value FROM sa WHERE {_LIVE} AND block_number BETWEEN 101 AND 200 GROUP BY ALL)
+        SELECT * FROM x WHERE old_value <> new_value""",
     "compaction_batches_plan": f"SELECT s AS after, least(s + 100, {_TOP}) AS up_to, s + 100 >= {_TOP} AS done FROM (SELECT unnest(range(0::BIGINT, {_TOP}, 100)) AS s)",
     "index_unwind": f"WITH {CB}, {AD}, {SD} SELECT address, NULL::VARCHAR AS slot, block_number, block_hash FROM ({_ADDRESS_INDEX}) WHERE block_number <= 355 UNION ALL SELECT * FROM ({_SLOT_INDEX}) WHERE block_number <= 355",
     "inv_orphan_account": f"WITH {BL}, {AD} SELECT count(*) AS violations FROM ad WHERE {_DAMAGED}",

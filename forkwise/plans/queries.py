@@ -39,10 +39,10 @@ class Chain:
         return P.heights_of(self.spark, self.sf_dir)
 
     def blocks(self) -> DataFrame:
-        return P.canonical_blocks(self.spark, self.heights)
+        return P.canonical_blocks(self.spark, self.sf_dir, self.heights)
 
     def log(self) -> DataFrame:
-        return P.chain_log(self.spark, self.heights)
+        return P.chain_log(self.spark, self.sf_dir, self.heights)
 
     def events(self) -> DataFrame:
         return fold.block_events(self.log())
@@ -54,12 +54,12 @@ class Chain:
         return extract.account_diffs(self.changes())
 
     def storage(self) -> DataFrame:
-        return extract.storage_diffs(P.storage_changes(self.spark, self.sf_dir))
+        return extract.storage_diffs(P.storage_changes(self.spark, self.sf_dir, self.heights))
 
     def receipts(self) -> DataFrame:
         """Artifacts; a stand-in for the root is derived from the block's hash."""
         anchor = F.concat(F.lit("0x"), F.sha2(F.col("block_hash"), 256))
-        return extract.receipt_artifacts(P.receipts(self.spark, self.sf_dir)).withColumn("receipt_root_anchor", anchor)
+        return extract.receipt_artifacts(P.receipts(self.spark, self.sf_dir, self.heights)).withColumn("receipt_root_anchor", anchor)
 
     def ops(self) -> DataFrame:
         return extract.revert_ops(self.accounts(), self.storage(), self.receipts())
@@ -181,7 +181,7 @@ def change_kind_matrix(c: Chain) -> DataFrame:
 
 
 def storage_noop_filter(c: Chain) -> DataFrame:
-    rows = P.storage_changes(c.spark, c.sf_dir)
+    rows = P.storage_changes(c.spark, c.sf_dir, c.heights)
     dropped = rows.groupBy("address").agg(F.count("*").alias("writes"), F.count_if(F.col("old_value") != F.col("new_value")).alias("changes"))
     return dropped
 
@@ -191,11 +191,14 @@ def reorg_base(c: Chain) -> DataFrame:
 
 
 def rlp_index_key(c: Chain) -> DataFrame:
-    return c.spark.range(0, 70_000).select(F.col("id").alias("receipt_index"), X.rlp_number(F.col("id")).alias("rlp"))
+    """The encoding as an index of every receipt's place in its block and of every order's key."""
+    keys = c.spark.read.parquet(f"{c.sf_dir}/orders.parquet").select(F.col("o_orderkey").cast("bigint").alias("receipt_index"))
+    places = c.receipts().select(F.col("receipt_index").cast("bigint").alias("receipt_index"))
+    return keys.unionByName(places).distinct().select("receipt_index", X.rlp_number(F.col("receipt_index")).alias("rlp"))
 
 
 def fork_hashes(c: Chain) -> DataFrame:
-    return P.blocks(c.spark, c.heights).select("block_number", "fork", P.block_hash())
+    return P.blocks(c.spark, c.sf_dir, c.heights).select("block_number", "fork", P.block_hash())
 
 
 # --- extraction and undo ----------------------------------------------------------
@@ -222,6 +225,10 @@ def segment_net_change(c: Chain) -> DataFrame:
     return rows.select("address", F.col("old.balance").alias("old_balance"), F.col("new.balance").alias("new_balance"), "change_kind")
 
 
+def segment_net_slots(c: Chain) -> DataFrame:
+    return extract.segment_net_slots(fold.active(P.storage_changes(c.spark, c.sf_dir, c.heights), c.blocks()), 101, 200)
+
+
 # --- the log fold -----------------------------------------------------------------
 
 
@@ -254,9 +261,10 @@ def apply_revert(c: Chain) -> DataFrame:
 
 
 def duplicate_commit(c: Chain) -> DataFrame:
-    """Every commit delivered twice."""
+    """Every commit delivered twice, the first time with other values: the last delivery counts."""
     once = c.accounts()
-    twice = once.withColumn("seq", F.lit(1)).unionByName(once.withColumn("seq", F.lit(2)))
+    first = once.withColumn("new_balance", F.concat(F.lit("9"), "new_balance")).withColumn("change_kind", F.lit("touched"))
+    twice = once.withColumn("seq", F.lit(2)).unionByName(first.withColumn("seq", F.lit(1)))
     return fold.latest(twice, ["block_hash", "address"], "seq").drop("seq")
 
 
@@ -340,9 +348,9 @@ def index_unwind(c: Chain) -> DataFrame:
 
 
 def cursor_unwind(c: Chain) -> DataFrame:
-    """The stage's cursors after an unwinding to height 355: lowered, or left where they were below."""
-    at = c.spark.range(300, 400).select((F.col("id") * 7 % 701).alias("compacted_until"), (F.col("id") * 5 % 503).alias("proof_indexed_until"), "id")
-    return compaction.unwind_cursors(at, 355)
+    """Cursors of an index side that followed each of the stream's checkpoints three heights behind, proofs five, after an unwinding to two thirds of the chain: lowered, or left where they were below."""
+    points = cursors.checkpoints(c.events()).withColumn("compacted_until", F.col("durable") - 3).withColumn("proof_indexed_until", F.col("durable") - 5)
+    return compaction.unwind_cursors(points, 2 * c.heights // 3).select("id", "compacted_until", "proof_indexed_until")
 
 
 # --- invariants -------------------------------------------------------------------
@@ -425,7 +433,7 @@ QUERIES = dict(
             account_diff_range, account_history, storage_diff_range, storage_history, receipt_by_tx_hash, canonical_receipts,
             active_block_count, canonical_tip, canonical_head, finalized_height, receipt_block_roots, block_diff_summary,
             change_kind_matrix, storage_noop_filter, reorg_base, rlp_index_key, fork_hashes,
-            extract_account_diffs, extract_storage_diffs, extract_receipts, revert_ops, segment_net_change,
+            extract_account_diffs, extract_storage_diffs, extract_receipts, revert_ops, segment_net_change, segment_net_slots,
             canonical_status_after_log, commit_fold, apply_revert, duplicate_commit, phantom_revert,
             cursor_timeline, latest_checkpoint, cursor_on_restart, merged_cursors, inv_checkpoint_consistent,
             address_block_index, slot_block_index, compaction_batch, compaction_batches_plan, compaction_gaps, index_append, index_unwind, cursor_unwind,

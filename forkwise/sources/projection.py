@@ -1,8 +1,8 @@
 """Chain tables projected from the driver's tables.
 
 Each twenty orders make a height, as a block's gas limit bounds its transactions, so the chain
-grows with the tables. Heights ending in 8 and 9 are contested: fork 0 loses them to fork 1.
-Orders give receipts, their line items storage changes, and events, dealt over all heights,
+grows with the tables. Heights ending in 8 and 9 are contested: fork 0 loses them to fork 1, and
+wins them back if more of their orders are finished than open. Orders give receipts, their line items storage changes, and events, dealt over all heights,
 account changes. A value's predecessor is that on its own branch: rows of a losing fork see
 the active chain below the fork point and their own fork above it.
 """
@@ -29,13 +29,37 @@ def height_of(order_key: str) -> Column:
     return (1 + F.floor(F.col(order_key) / ORDERS_IN_BLOCK)).cast("bigint").alias("block_number")
 
 
-def blocks(spark: SparkSession, heights: int) -> DataFrame:
-    """block_number, fork and status of every block."""
-    heights = spark.range(1, heights + 1).select(F.col("id").alias("block_number"))
-    contested = F.col("block_number") % 10 >= 8
-    forks = F.when(contested, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = heights.select("block_number", contested.alias("contested"), F.explode(forks).alias("fork"))
-    return rows.select("block_number", "fork", F.when(F.col("contested") & (F.col("fork") == 0), "reorged").otherwise("active").alias("canonical_status"))
+def winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pair and whether fork 0 wins it back, for each pair of contested heights that has orders."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(height_of("o_orderkey"), "o_orderstatus")
+    rows = orders.filter(contested()).groupBy(_pair())
+    return rows.agg((F.count_if(F.col("o_orderstatus") == "F") > F.count_if(F.col("o_orderstatus") == "O")).alias("back"))
+
+
+def contested() -> Column:
+    return F.col("block_number") % 10 >= 8
+
+
+def _pair() -> Column:
+    """The pair of contested heights that a height belongs to or follows."""
+    return F.floor((F.col("block_number") - 1) / 10).alias("pair")
+
+
+def _with_winner(rows: DataFrame, spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
+    """``rows`` with ``back``; pairs are a tenth of the heights, and few of them are broadcast."""
+    won = winners(spark, sf_dir)
+    return rows.withColumn("pair", _pair()).join(F.broadcast(won) if heights < BROADCAST_HEIGHTS else won, "pair", "left").withColumn("back", F.coalesce("back", F.lit(False))).drop("pair")
+
+
+def _status() -> Column:
+    return F.when(contested() & ((F.col("fork") == 1) == F.col("back")), "reorged").otherwise("active").alias("canonical_status")
+
+
+def blocks(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
+    """block_number, fork, status and ``back`` of every block."""
+    rows = _with_winner(spark.range(1, heights + 1).select(F.col("id").alias("block_number")), spark, sf_dir, heights)
+    forks = F.when(contested(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("block_number", "back", F.explode(forks).alias("fork")).select("block_number", "fork", _status(), "back")
 
 
 def block_hash() -> Column:
@@ -44,34 +68,33 @@ def block_hash() -> Column:
 
 def parent_hash() -> Column:
     n = F.col("block_number") % 10
-    fork = F.when(n == 9, F.col("fork")).when(n == 0, F.lit(1)).otherwise(F.lit(0))
+    fork = F.when(n == 9, F.col("fork")).when((n == 0) & ~F.col("back"), F.lit(1)).otherwise(F.lit(0))
     return X.fork_hash(F.col("block_number") - 1, fork).alias("parent_hash")
 
 
-def canonical_blocks(spark: SparkSession, heights: int) -> DataFrame:
+def canonical_blocks(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
     """Every 32nd height is hinted as final."""
     hint = F.when(F.col("block_number") % 32 == 0, F.lit(True))
-    return blocks(spark, heights).select("block_number", block_hash(), parent_hash(), "canonical_status", hint.alias("finalized_hint"), F.lit(None).cast("bigint").alias("derived_checkpoint_id"))
+    return blocks(spark, sf_dir, heights).select("block_number", block_hash(), parent_hash(), "canonical_status", hint.alias("finalized_hint"), F.lit(None).cast("bigint").alias("derived_checkpoint_id"))
 
 
-def chain_log(spark: SparkSession, heights: int) -> DataFrame:
-    """Notification log without payloads: each ten heights are committed, then their contested ones reorganised."""
-    rows = blocks(spark, heights)
+def chain_log(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
+    """Notification log without payloads: each ten heights are committed, then their contested ones reorganised, and those that fork 0 wins back once more."""
+    rows = blocks(spark, sf_dir, heights)
     decade = F.floor(F.col("block_number") / 10)
     base = [block_hash(), parent_hash()]
-    commit = rows.filter("fork = 0").select((2 * decade).alias("seq"), F.lit("commit").alias("kind"), F.lit("new").alias("side"), "block_number", *base)
-    contested = rows.filter("block_number % 10 >= 8")
-    side = F.when(F.col("fork") == 0, "old").otherwise("new")
-    reorg = contested.select((2 * decade + 1).alias("seq"), F.lit("reorg").alias("kind"), side.alias("side"), "block_number", *base)
-    return commit.unionByName(reorg)
+    commit = rows.filter("fork = 0").select((3 * decade).alias("seq"), F.lit("commit").alias("kind"), F.lit("new").alias("side"), "block_number", *base)
 
+    def reorg(pairs: DataFrame, place: int, old: int) -> DataFrame:
+        return pairs.select((3 * decade + place).alias("seq"), F.lit("reorg").alias("kind"), F.when(F.col("fork") == old, "old").otherwise("new").alias("side"), "block_number", *base)
 
-def _per_block(rows: DataFrame, lost: Column, won: Column) -> DataFrame:
-    """Rows (with block_number) on every block that has them; contested blocks leave some out."""
-    n = F.col("block_number") % 10
-    forks = F.when(n < 8, F.array(F.lit(0))).otherwise(F.filter(F.array(F.when(lost, F.lit(0)), F.when(won, F.lit(1))), lambda x: x.isNotNull()))
-    out = rows.withColumn("fork", F.explode(forks))
-    return out.withColumn("canonical_status", F.when((n >= 8) & (F.col("fork") == 0), "reorged").otherwise("active"))
+    return commit.unionByName(reorg(rows.filter(contested()), 1, 0)).unionByName(reorg(rows.filter(contested() & F.col("back")), 2, 1))
+
+
+def _per_block(rows: DataFrame, first: Column, second: Column, spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
+    """Rows (with block_number) on every block that has them; contested blocks have those of ``first`` on fork 0 and of ``second`` on fork 1."""
+    forks = F.when(~contested(), F.array(F.lit(0))).otherwise(F.filter(F.array(F.when(first, F.lit(0)), F.when(second, F.lit(1))), lambda x: x.isNotNull()))
+    return _with_winner(rows.withColumn("fork", F.explode(forks)), spark, sf_dir, heights).withColumn("canonical_status", _status()).drop("back")
 
 
 def account_changes(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
@@ -79,7 +102,7 @@ def account_changes(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cents = F.round(F.col("value") * 100).cast("bigint")
     rows = events.select((1 + F.col("event_id") % heights).cast("bigint").alias("block_number"), "user_id", "event_type", cents.alias("cents"))
-    rows = _per_block(rows, F.col("event_type") != "signup", F.col("event_type") != "error")
+    rows = _per_block(rows, F.col("event_type") != "signup", F.col("event_type") != "error", spark, sf_dir, heights)
     rows = rows.groupBy("block_number", "fork", "canonical_status", "user_id").agg(F.sum("cents").alias("delta"))
 
     active = F.when(F.col("canonical_status") == "active", F.col("delta"))
@@ -104,11 +127,11 @@ def account_changes(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame
     )
 
 
-def storage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def storage_changes(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
     """block_number, block_hash, address, slot and its value before and after, unchanged ones included."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     rows = items.select(height_of("l_orderkey"), "l_suppkey", (F.col("l_partkey") % 16).alias("slot"), "l_quantity", "l_returnflag")
-    rows = _per_block(rows, F.col("l_returnflag") != "R", F.col("l_returnflag") != "A")
+    rows = _per_block(rows, F.col("l_returnflag") != "R", F.col("l_returnflag") != "A", spark, sf_dir, heights)
     rows = rows.groupBy("block_number", "fork", "canonical_status", "l_suppkey", "slot").agg(F.max("l_quantity").cast("bigint").alias("value"))
 
     active = F.when(F.col("canonical_status") == "active", F.col("value"))
@@ -126,12 +149,12 @@ def storage_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def receipts(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
     """block_number, block_hash, tx_index, tx_hash, status and cumulative_gas_used."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     gas = 21000 + F.round(F.col("o_totalprice") * 100).cast("bigint") % 100000
     rows = orders.select(height_of("o_orderkey"), "o_orderkey", "o_orderstatus", gas.alias("gas"))
-    rows = _per_block(rows, F.col("o_orderstatus") != "P", F.col("o_orderstatus") != "F")
+    rows = _per_block(rows, F.col("o_orderstatus") != "P", F.col("o_orderstatus") != "F", spark, sf_dir, heights)
     order = Window.partitionBy("block_number", "fork").orderBy("o_orderkey")
     return rows.select(
         "block_number", block_hash(), (F.row_number().over(order) - 1).cast("int").alias("tx_index"), X.number_hash(F.col("o_orderkey")).alias("tx_hash"),
