@@ -154,36 +154,54 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def lstm(chars: np.ndarray, p: dict, d: str, keep: bool = False):
-    """Hidden states (T, B, H) of one direction over ``chars`` (T, B), which is already in reading order."""
-    T, B = chars.shape
-    H = p[d + "h"].shape[0]
-    h, c = np.zeros((B, H)), np.zeros((B, H))
-    out, saved = np.empty((T, B, H)), []
+def both_ways(chars: np.ndarray) -> np.ndarray:
+    """``chars`` (T, B) as the two directions read them: (2, T, B)."""
+    return np.stack([chars, chars[::-1]])
+
+
+def lstm(chars: np.ndarray, p: dict, keep: bool = False):
+    """Hidden states (2, T, B, H) of both directions over ``chars`` (T, B), each in its reading order.
+
+    What the input adds to the gates is looked up for all steps at once.
+    """
+    (T, B), H = chars.shape, p["h"].shape[1]
+    inputs = np.stack([x[c] for x, c in zip(p["x"], both_ways(chars))])
+    kind = p["h"].dtype
+    h, c = np.zeros((2, B, H), kind), np.zeros((2, B, H), kind)
+    out = np.empty((2, T, B, H), kind)
+    saved = [np.empty((T, 2, B, n * H), kind) for n in (4, 1, 1)] if keep else []
     for t in range(T):
-        z = p[d + "x"][chars[t]] + h @ p[d + "h"]
-        s = _sigmoid(z[:, : 3 * H])
-        i, f, o, g = s[:, :H], s[:, H : 2 * H], s[:, 2 * H :], np.tanh(z[:, 3 * H :])
-        before, c_before = h, c
-        c = f * c + i * g
+        z = inputs[:, t] + h @ p["h"]
+        z[:, :, : 3 * H] = _sigmoid(z[:, :, : 3 * H])
+        np.tanh(z[:, :, 3 * H :], out=z[:, :, 3 * H :])
+        before = c
+        c = z[:, :, H : 2 * H] * c + z[:, :, :H] * z[:, :, 3 * H :]
         tc = np.tanh(c)
-        h = o * tc
-        out[t] = h
+        h = z[:, :, 2 * H : 3 * H] * tc
+        out[:, t] = h
         if keep:
-            saved.append((i, f, o, g, tc, before, c_before))
+            saved[0][t], saved[1][t], saved[2][t] = z, tc, before
     return out, saved
 
 
-def lstm_back(chars: np.ndarray, p: dict, d: str, saved: list, grad: np.ndarray, into: dict) -> None:
-    dh, dc = np.zeros_like(grad[0]), np.zeros_like(grad[0])
-    for t in range(len(saved) - 1, -1, -1):
-        i, f, o, g, tc, before, c_before = saved[t]
-        dh = dh + grad[t]
+def lstm_back(chars: np.ndarray, p: dict, states: np.ndarray, saved: list, grad: np.ndarray) -> dict:
+    """Gradients of the input and recurrent weights; both are sums over all steps, taken by one matrix product each."""
+    _, T, B, H = states.shape
+    kind = states.dtype
+    dh, dc, dz = np.zeros((2, B, H), kind), np.zeros((2, B, H), kind), np.empty((2, T, B, 4 * H), kind)
+    for t in range(T - 1, -1, -1):
+        z, tc, before = (x[t] for x in saved)
+        i, f, o, g = (z[:, :, n * H : (n + 1) * H] for n in range(4))
+        dh = dh + grad[:, t]
         dc = dc + dh * o * (1 - tc * tc)
-        dz = np.concatenate([dc * g * i * (1 - i), dc * c_before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], axis=1)
-        np.add.at(into[d + "x"], chars[t], dz)
-        into[d + "h"] += before.T @ dz
-        dh, dc = dz @ p[d + "h"].T, dc * f
+        now = dz[:, t]
+        now[:, :, :H], now[:, :, H : 2 * H] = dc * g * i * (1 - i), dc * before * f * (1 - f)
+        now[:, :, 2 * H : 3 * H], now[:, :, 3 * H :] = dh * tc * o * (1 - o), dc * i * (1 - g * g)
+        dh, dc = now @ p["h"].transpose(0, 2, 1), dc * f
+    flat = dz.reshape(2, T * B, 4 * H)
+    one_hot = (both_ways(chars).reshape(2, T * B, 1) == np.arange(N_CHARS)).astype(kind)
+    earlier = np.concatenate([np.zeros((2, 1, B, H), kind), states[:, :-1]], axis=1).reshape(2, T * B, H)
+    return {"x": one_hot.transpose(0, 2, 1) @ flat, "h": earlier.transpose(0, 2, 1) @ flat}
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
@@ -193,25 +211,26 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 def crf_grad(e: np.ndarray, tags: np.ndarray, trans: np.ndarray):
     """Mean negative log likelihood and its gradients; e is (T, B, K), trans (K + 1, K) with the mask added."""
-    T, B, _ = e.shape
-    step = trans[:-1]
+    T, B, K = e.shape
+    step, likely = trans[:-1], np.exp(trans[:-1])
     a, b = np.empty_like(e), np.zeros_like(e)
     a[0] = e[0] + trans[-1]
     for t in range(1, T):
-        a[t] = e[t] + _lse(a[t - 1][:, :, None] + step, 1)
+        m = a[t - 1].max(1, keepdims=True)
+        a[t] = e[t] + m + np.log(np.exp(a[t - 1] - m) @ likely + 1e-300)
     for t in range(T - 2, -1, -1):
-        b[t] = _lse((b[t + 1] + e[t + 1])[:, None, :] + step, 2)
+        x = b[t + 1] + e[t + 1]
+        m = x.max(1, keepdims=True)
+        b[t] = m + np.log(np.exp(x - m) @ likely.T + 1e-300)
     z = _lse(a[-1], 1)
     de = np.exp(a + b - z[:, None])
     dtrans = np.zeros_like(trans)
     dtrans[-1] = de[0].sum(0)
-    rows = np.arange(B)
-    score = e[0, rows, tags[0]] + trans[-1, tags[0]]
-    np.add.at(dtrans[-1], tags[0], -1)
-    for t in range(1, T):
-        dtrans[:-1] += np.exp(a[t - 1][:, :, None] + step + (e[t] + b[t])[:, None, :] - z[:, None, None]).sum(0)
-        np.add.at(dtrans, (tags[t - 1], tags[t]), -1)
-        score += e[t, rows, tags[t]] + trans[tags[t - 1], tags[t]]
+    rows, at = np.arange(B), np.arange(T)[:, None]
+    dtrans[:-1] = np.exp(a[:-1, :, :, None] + step + (e[1:] + b[1:])[:, :, None, :] - z[:, None, None]).sum((0, 1))
+    score = e[at, rows, tags].sum(0) + trans[-1, tags[0]] + trans[tags[:-1], tags[1:]].sum(0)
+    dtrans[-1] -= np.bincount(tags[0], minlength=K)
+    dtrans[:-1] -= np.bincount((tags[:-1] * K + tags[1:]).ravel(), minlength=K * K).reshape(K, K)
     np.put_along_axis(de, tags[:, :, None], np.take_along_axis(de, tags[:, :, None], 2) - 1, 2)
     return float((z - score).mean()), de / B, dtrans / B
 
@@ -238,10 +257,9 @@ class Tagger:
     p: dict
 
     def emissions(self, chars: np.ndarray, keep: bool = False):
-        f, sf = lstm(chars, self.p, "f", keep)
-        b, sb = lstm(chars[::-1], self.p, "b", keep)
-        h = np.concatenate([f, b[::-1]], axis=2)
-        return h @ self.p["out"] + self.p["bias"], h, sf, sb
+        states, saved = lstm(chars, self.p, keep)
+        h = np.concatenate([states[0], states[1, ::-1]], axis=2)
+        return (h @ self.p["out"] + self.p["bias"]).astype(np.float64), h, states, saved
 
     def tags(self, chars: np.ndarray) -> np.ndarray:
         return viterbi(self.emissions(chars)[0], self.p["trans"] + MASK)
@@ -257,9 +275,9 @@ def fit(windows: list[tuple[str, list[tuple[int, int, int]]]], hidden: int = 16,
             tags[i, a], tags[i, a + 1 : b] = 1 + 2 * kind, 2 + 2 * kind
     n = 4 * hidden
     p = {"out": rng.normal(0, 0.2, (2 * hidden, N_TAGS)), "bias": np.zeros(N_TAGS), "trans": np.zeros((N_TAGS + 1, N_TAGS))}
-    for d in "fb":
-        p[d + "x"], p[d + "h"] = rng.normal(0, 0.3, (N_CHARS, n)), rng.normal(0, 0.2, (hidden, n))
-        p[d + "x"][:, hidden : 2 * hidden] += 1  # remember at first
+    p["x"], p["h"] = rng.normal(0, 0.3, (2, N_CHARS, n)), rng.normal(0, 0.2, (2, hidden, n))
+    p["x"][:, :, hidden : 2 * hidden] += 1  # remember at first
+    p = {k: x.astype(np.float32) for k, x in p.items()}  # sums over whole texts, in the CRF, are in double precision
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     order = np.empty(0, np.int64)
     for t in range(1, steps + 1):
@@ -267,14 +285,12 @@ def fit(windows: list[tuple[str, list[tuple[int, int, int]]]], hidden: int = 16,
             order = rng.permutation(len(windows))
         pick, order = order[:batch], order[batch:]
         x, y = chars[pick].T, tags[pick].T
-        e, h, sf, sb = Tagger(p).emissions(x, True)
+        e, h, states, saved = Tagger(p).emissions(x, True)
         _, de, dtrans = crf_grad(e, y, p["trans"] + MASK)
-        g = {k: np.zeros_like(w) for k, w in p.items()}
-        g["trans"] = dtrans
-        g["out"], g["bias"] = np.tensordot(h, de, ([0, 1], [0, 1])), de.sum((0, 1))
+        de, dtrans = de.astype(np.float32), dtrans.astype(np.float32)
         dh = de @ p["out"].T
-        lstm_back(x, p, "f", sf, dh[:, :, :hidden], g)
-        lstm_back(x[::-1], p, "b", sb, dh[::-1, :, hidden:], g)
+        g = {"trans": dtrans, "out": np.tensordot(h, de, ([0, 1], [0, 1])), "bias": de.sum((0, 1))}
+        g |= lstm_back(x, p, states, saved, np.stack([dh[:, :, :hidden], dh[::-1, :, hidden:]]))
         size = np.sqrt(sum((w * w).sum() for w in g.values()))
         rate = 0.02 * min(1.0, 5 / (size + 1e-9)) * (1 - 0.9 * t / steps)
         for k, w in p.items():
