@@ -85,6 +85,8 @@ def timeline(events: DataFrame, span: int = RANGE) -> DataFrame:
 
 
 def _id(seq: Column, step: Column, block_number: Column) -> Column:
+    """A checkpoint's place in the log. Heights from 2**31 on don't fit beside the step and are an error."""
+    block_number = F.when(block_number >= 1 << 31, F.raise_error(F.lit("heights from 2**31 on have no checkpoint id"))).otherwise(block_number)
     return (seq * F.lit(1 << 32) + step * F.lit(1 << 31) + block_number).cast("bigint").alias("id")
 
 

@@ -149,4 +149,10 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'address_index', count(*) FROM ad WHERE {_LIVE} AND block_number > 700""",
     "canonical_anchor": f"""WITH {CB}, live AS (SELECT * FROM cb WHERE canonical_status = 'active') SELECT block_number, block_hash, canonical_status = 'active' AS is_canonical,
         (SELECT max(block_number) FROM live) AS head_number, (SELECT arg_max(block_hash, block_number) FROM live) AS head_hash, (SELECT max(block_number) FROM live WHERE finalized_hint) AS finalized_height FROM cb""",
+    "stored_status": f"WITH {CB} {_STATUS}",
+    "stored_account_history": f"WITH {CB}, {AD} SELECT * FROM ad WHERE {_LIVE}",
+    "stored_index": f"WITH {CB}, {AD} {_ADDRESS_INDEX}",
+    "stored_losing_rows": f"""WITH {CB}, {AD}, {RC} SELECT 'account_diffs' AS table_name, block_number, block_hash, count(*) AS n_rows FROM ad WHERE NOT {_LIVE} GROUP BY ALL
+        UNION ALL SELECT 'receipt_artifacts', block_number, block_hash, count(*) FROM rc WHERE NOT {_LIVE} GROUP BY ALL""",
+    "stored_cursors": f"WITH {BL}, {LG} SELECT * REPLACE (durable AS compacted_until, (SELECT arg_max(finished_height, (seq, step, block_number)) FROM tl) AS finished_height) FROM ({_LAST.format(behind=0)})",
 }

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas
 from ..functions import scalars as X
 
 ORDERS_IN_BLOCK = 20
@@ -161,3 +163,18 @@ def receipts(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
         (F.col("o_orderstatus") != "F").alias("status"), F.sum("gas").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("cumulative_gas_used"),
     )
 
+
+
+def payload_log(spark: SparkSession, sf_dir: str, heights: int) -> DataFrame:
+    """``chain_log`` with the account changes and receipts of every block that comes with a notification; twenty orders and their share of events bound a block."""
+    key = ["block_number", "block_hash"]
+    nothing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RECEIPT}
+    change = F.struct("address", "old", "new", F.lit(None).cast(T.ArrayType(schemas.SLOT_CHANGE)).alias("storage"))
+    changes = account_changes(spark, sf_dir, heights).groupBy(*key).agg(F.collect_list(change).alias("changes"))
+    told = F.struct("tx_index", F.struct(*(c if c in ("tx_hash", "status", "cumulative_gas_used") else nothing[c] for c in schemas.RECEIPT.fieldNames())).alias("r"))
+    told = receipts(spark, sf_dir, heights).groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(told)), lambda x: x["r"]).alias("receipts"))
+    log = chain_log(spark, sf_dir, heights)
+    new = log.filter("side = 'new'").join(changes, key, "left").join(told, key, "left")
+    new = new.withColumn("changes", F.coalesce("changes", F.array().cast(T.ArrayType(schemas.CHANGE))))
+    out = new.unionByName(log.filter("side = 'old'"), allowMissingColumns=True).withColumn("transactions", F.lit(None).cast(T.ArrayType(T.StringType())))
+    return out.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.CHAIN_LOG))

@@ -8,9 +8,10 @@ import os
 import duckdb
 import pytest
 
+from forkwise.plans import queries, stored
 from forkwise.plans.oracles import ORACLES
-from forkwise.plans.queries import QUERIES
 
+QUERIES = queries.QUERIES | stored.QUERIES
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
@@ -36,3 +37,8 @@ def test_query(spark, con, name):
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
     assert normal([tuple(r[c] for c in columns) for r in got.collect()]) == normal([tuple(r[i] for i in order) for r in want.fetchall()])
+
+
+def test_the_stored_chain_violates_nothing(spark):
+    assert stored.stored_invariants(spark, SF).filter("violations > 0").isEmpty()
+    assert stored.store_of(spark, SF).version().of("address_block_index")
