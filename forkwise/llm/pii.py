@@ -265,7 +265,7 @@ class Tagger:
         return viterbi(self.emissions(chars)[0], self.p["trans"] + MASK)
 
 
-def fit(windows: list[tuple[str, list[tuple[int, int, int]]]], hidden: int = 16, steps: int = 500, batch: int = 48, seed: int = 5) -> Tagger:
+def fit(windows: list[tuple[str, list[tuple[int, int, int]]]], hidden: int = 16, steps: int = 800, batch: int = 48, seed: int = 5) -> Tagger:
     """Train on (text, [(start, kind, end)]) windows of at most WINDOW characters."""
     rng = np.random.default_rng(seed)
     chars, tags = np.full((len(windows), WINDOW), PAD), np.zeros((len(windows), WINDOW), np.int64)
@@ -319,9 +319,15 @@ def _generated(kind: int, rng: np.random.Generator) -> str:
 
 
 def _distractor(rng: np.random.Generator) -> str:
+    """Numbers and signs that are no personal data."""
     d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    some = lambda low, high: int(rng.integers(low, high))
     h = "".join("0123456789abcdef"[i] for i in rng.integers(0, 16, 40))
-    return [f'token = "{h}"', f"version {d(1)}.{d(1)}", f"Version {d(1)}.{d(1)}.", f"20{d(2)}-{d(2)}-{d(2)}", d(4), d(9), d(12), f"{d(1)},{d(3)},{d(3)}", f"{d(2)}:{d(2)}:{d(2)}", f"{d(3)}.{d(2)}", f"#{d(6)}", f"@{h[:6]}"][rng.integers(12)]
+    mark = [".", ",", " "][some(0, 3)]
+    return [
+        f'token = "{h}"', f"version {d(1)}.{d(1)}", f"Version {d(1)}.{d(1)}.", f"20{d(2)}-{d(2)}-{d(2)}", d(4), d(9), d(12), f"{d(1)},{d(3)},{d(3)}", f"{d(2)}:{d(2)}:{d(2)}", f"{d(3)}.{d(2)}", f"#{d(6)}", f"@{h[:6]}",
+        mark.join([d(some(1, 4)), *(d(3) for _ in range(some(2, 4)))]), f"{d(1)}.{d(some(7, 16))}", f"97{some(8, 10)}-{d(1)}-{d(some(2, 5))}-{d(some(4, 7))}-{d(1)}", "-".join(d(2) for _ in range(some(4, 8))), f"{d(1)}-{d(some(3, 6))}-{d(some(3, 6))}-{d(1)}", f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}",
+    ][some(0, 18)]
 
 
 def generated_windows(words: list[str], n: int, seed: int = 3) -> list[tuple[str, list[tuple[int, int, int]]]]:

@@ -1,4 +1,4 @@
-"""Windows written by hand, in forms that the training generator does not make, and numbers that are no personal data."""
+"""Windows written by hand: personal data in forms that the training generator does not make, and numbers that are none, some of kinds that it makes too."""
 
 from __future__ import annotations
 
@@ -140,4 +140,4 @@ def test_windows_written_by_hand():
     words = "the of and a in to is was it for on with as by at from this that be are or an not which have one you were her all she there would their we him been has when who".split()
     asked, found, added, wrong = figures(pii.fit(pii.generated_windows(words, 1500)))
     assert len(MISSED.strip().splitlines()) + len(CLEAN.strip().splitlines()) >= 100 and asked >= 30
-    assert found >= 0.35 * asked and len(wrong) <= 0.3 * added, (asked, found, added, wrong)
+    assert found >= 0.45 * asked and len(wrong) <= 0.2 * added, (asked, found, added, wrong)
