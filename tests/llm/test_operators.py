@@ -156,7 +156,7 @@ def test_nearest(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(1500, 16)) + 3 * rng.normal(size=(20, 16))[rng.integers(0, 20, 1500)]
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000, None), (2050, [0.0] * 16), (2100, [float("nan")] * 16), (2150, [None] * 16), (2200, x[0].tolist())]
-    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=600).collect()
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=600, split=20).collect()
     v = {i: np.array(e) for i, e in rows if e is not None and None not in e and np.isfinite(e).all() and any(e)}
     names = np.array(sorted(v))
     u = np.array([v[i] / np.linalg.norm(v[i]) for i in names])
@@ -212,6 +212,25 @@ def test_visits_go_on_while_leaves_hold_too_few():
     assert all(sorted(v) == list(range(tree.n_leaves)) for v in tree.visits(neighbours._unit(x[:3]), 10**6))
 
 
+def test_leaves_become_subtrees():
+    """Leaves of a grown tree are numbered side by side, and vectors go to one that is near."""
+    rng = np.random.default_rng(3)
+    x = neighbours._unit(rng.normal(size=(4000, 8)))
+    tree = neighbours.fit(x[:200])
+    at = tree.assign(x)
+    grown = tree.with_subtrees({leaf: neighbours.fit(x[at == leaf]) for leaf in range(0, tree.n_leaves, 2)})
+    assert grown.n_leaves > tree.n_leaves and sorted(grown.leaf_of[grown.leaf_of >= 0]) == list(range(grown.n_leaves))
+    assert all(len(kids) != 0 or leaf >= 0 for kids, leaf in zip(grown.children, grown.leaf_of))
+    for t in (tree, grown):
+        node = np.argsort(np.where(t.leaf_of < 0, 10**9, t.leaf_of))[: t.n_leaves]
+        best = np.argmax(x @ t.centroids[node].T, axis=1)
+        assert np.mean(t.assign(x) == best) > 0.8
+        assert (t.assign(x, beam=10**6) == best).all()
+        near = x[:50] @ t.centroids[node].T
+        for row, leaves in zip(near, t.visits(x[:50], t.n_leaves)):
+            assert (np.diff(row[leaves]) < 1e-7).all()  # by their own cosines, whatever stands above them
+
+
 def test_warc_round_trip(spark):
     big = "<p>" + words(60_000, 5)
     rows = [(1, "http://a/ü", big), (2, None, big), (3, "http://b", None), (4, "u", "short"), (5, "u", "short"), (None, "u", big)]
