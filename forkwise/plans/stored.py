@@ -1,7 +1,8 @@
 """The chain of the driver's tables taken through a store: log batches, index steps and reorganisations between them.
 
 The store lies in the folder that driver and executors share and is made once a session for
-each set of tables.
+each set of tables. Its buckets and the steps of its index side grow with the chain, so that
+files, parts and jobs stay as many and each job, which Spark deals out, gets longer.
 """
 
 from __future__ import annotations
@@ -12,14 +13,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import Settings
 from ..operators import cursors, reads
 from ..sources import audit
 from ..sources import projection as P
+from ..sources.manifest import Folder
 from ..sources.store import Store
 from ..streaming import ingest
 
 BATCHES, HEIGHTS_PER_BUCKET = 3, 50
+#: Buckets that a chain is cut into at most.
+MOST_BUCKETS = 32
 _MADE: dict[tuple[str, str], Store] = {}
 
 
@@ -33,17 +38,26 @@ def _shared(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def settings_for(root: str, heights: int) -> Settings:
+    """Those of a store that a chain of so many heights is taken into at once."""
+    return Settings(root, heights_per_bucket=max(HEIGHTS_PER_BUCKET, -(-(heights + 1) // MOST_BUCKETS)), max_blocks_per_batch=max(Settings.max_blocks_per_batch, heights))
+
+
 def store_of(spark: SparkSession, sf_dir: str) -> Store:
     """The whole log in batches that end between a commit and the reorganisation of its blocks, each followed by the index side."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MADE:
-        settings = Settings(f"{_shared(spark)}/store-{uuid.uuid4().hex}", heights_per_bucket=HEIGHTS_PER_BUCKET)
-        store, heights = ingest.store_of(spark, settings).create(), P.heights_of(spark, sf_dir)
-        log = P.payload_log(spark, sf_dir, heights)
+        root, heights = f"{_shared(spark)}/store-{uuid.uuid4().hex}", P.heights_of(spark, sf_dir)
+        settings = settings_for(root, heights)
+        store = ingest.store_of(spark, settings).create()
+        # Derived once; each batch reads its part.
+        P.payload_log(spark, sf_dir, heights).write.parquet(f"{root}/log")
+        log = spark.read.schema(schemas.CHAIN_LOG).parquet(f"{root}/log")
         ends = [3 * (heights // 10 * n // BATCHES) for n in range(1, BATCHES)]
         for n, (after, upto) in enumerate(zip([-1, *ends], [*ends, None])):
             ingest.apply_log(store, log.filter((F.col("seq") > after) & (F.lit(True) if upto is None else F.col("seq") <= upto)), n)
             ingest.compact_all(store, settings)
+        Folder(spark, f"{root}/log").delete()
         _MADE[key] = store
     return _MADE[key]
 

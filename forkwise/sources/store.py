@@ -15,8 +15,10 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +74,8 @@ FAULTS: dict[str, dict[str, str]] = {
 MOST = 8
 #: Tasks, and so files, that a bucket of a large batch is dealt to.
 SPREAD = 8
+#: Tables of a batch that are written at the same time, as most are short.
+AT_ONCE = 4
 
 
 def _observed(seen: Observation) -> dict[str, int]:
@@ -148,7 +152,10 @@ class Store:
         """Rows of several tables as one batch; one that is in already is passed over."""
         if self.committed().get(writer, -1) >= batch:
             return None
-        return self.publish([p for name, rows in tables.items() for p in self.put(name, rows)], committed={writer: batch})
+        put = inheritable_thread_target(self.spark)(self.put)
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            parts = [p for own in pool.map(put, tables, tables.values()) for p in own]
+        return self.publish(parts, committed={writer: batch})
 
     def take_over(self, table: str, rows: DataFrame, batch: int) -> None:
         """Write rows of an old store, decoded leniently, as a batch that any later payload of the same keys replaces."""

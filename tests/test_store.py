@@ -357,3 +357,13 @@ def test_old_stores_are_taken_over(spark, tmp_path):
     assert [(r.seq, r.base) for r in store.read("rollbacks").collect()] == [(1, 0)]
     assert cursors.latest(store.read("stream_checkpoints")).collect()[0].streaming == 1
     assert tx(1)
+
+
+def test_parts_and_steps_do_not_grow_with_the_chain():
+    from forkwise.operators import compaction
+    from forkwise.plans import stored
+
+    for heights in (1, 75, 1600, 45_000, 2_700_000):
+        settings = stored.settings_for("somewhere", heights)
+        assert heights // settings.heights_per_bucket < stored.MOST_BUCKETS
+        assert compaction.next_batch(0, heights, None, settings.max_blocks_per_batch).done
