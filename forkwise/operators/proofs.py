@@ -1,15 +1,17 @@
 """Receipt roots and inclusion proofs.
 
-Receipts of a block come together in one row (a block's gas limit bounds them), and a whole
-Arrow batch of blocks is hashed at once. Roots alone don't keep any proof.
+Receipts of a block come together in one row (a block's gas limit bounds them), and slices of an
+Arrow batch are hashed at once, so that a task holds the tries of few blocks. Roots alone don't
+keep any proof.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import Corrupt, NotFound
@@ -18,27 +20,49 @@ from ..functions.keccak import keccak256_many
 from . import reads
 
 
-def by_block(receipts: DataFrame) -> DataFrame:
-    """block_number, block_hash, and tx_hashes and encoded receipts in the order of their index."""
+def by_block(receipts: DataFrame, *more: Column) -> DataFrame:
+    """block_number, block_hash, and tx_hashes and encoded receipts in the order of their index; ``more`` aggregates."""
     whole = F.array_sort(F.collect_list(F.struct("receipt_index", "receipt_rlp", "tx_hash", "tx_index")))
-    rows = receipts.groupBy("block_number", "block_hash").agg(whole.alias("r"))
-    return rows.select("block_number", "block_hash", F.transform("r", lambda x: x["receipt_rlp"]).alias("encoded"), F.transform("r", lambda x: x["tx_hash"]).alias("tx_hashes"), F.transform("r", lambda x: x["tx_index"]).alias("tx_indexes"))
+    rows = receipts.groupBy("block_number", "block_hash").agg(whole.alias("r"), *more)
+    return rows.select(*(c for c in rows.columns if c != "r"), F.transform("r", lambda x: x["receipt_rlp"]).alias("encoded"), F.transform("r", lambda x: x["tx_hash"]).alias("tx_hashes"), F.transform("r", lambda x: x["tx_index"]).alias("tx_indexes"))
 
 
 def _hex(data: bytes) -> str:
     return "0x" + data.hex()
 
 
-def roots(receipts: DataFrame) -> DataFrame:
-    """block_number, block_hash, receipts_root and n_receipts of every block that has receipts."""
+#: Blocks, or proofs, that are worked on together.
+BLOCKS, ROWS = 256, 2048
+
+
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    return (b.slice(first, size) for b in batches for first in range(0, b.num_rows, size))
+
+
+def _roots_of(grouped: DataFrame) -> DataFrame:
+    """``grouped`` by block with its root and number of receipts instead of the receipts."""
+    kept = [c for c in grouped.columns if c != "encoded"]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches, BLOCKS):
             blocks = b.column("encoded").to_pylist()
             found = [_hex(t.hash) for t in trie.tries(blocks)]
-            yield pa.RecordBatch.from_arrays([b.column("block_number"), b.column("block_hash"), pa.array(found, pa.string()), pa.array(map(len, blocks), pa.int64())], ["block_number", "block_hash", "receipts_root", "n_receipts"])
+            yield pa.RecordBatch.from_arrays([*map(b.column, kept), pa.array(found, pa.string()), pa.array(map(len, blocks), pa.int64())], [*kept, "receipts_root", "n_receipts"])
 
-    return by_block(receipts).select("block_number", "block_hash", "encoded").mapInArrow(made, "block_number long, block_hash string, receipts_root string, n_receipts long")
+    kinds = ", ".join(f"{c} {grouped.schema[c].dataType.simpleString()}" for c in kept)
+    return grouped.mapInArrow(made, f"{kinds}, receipts_root string, n_receipts bigint")
+
+
+def roots(receipts: DataFrame) -> DataFrame:
+    """block_number, block_hash, receipts_root and n_receipts of every block that has receipts."""
+    return _roots_of(by_block(receipts).select("block_number", "block_hash", "encoded"))
+
+
+def roots_and_anchors(receipts: DataFrame, anchors: list[str]) -> DataFrame:
+    """``roots`` with each block's distinct combinations of stored anchors, from one pass over the receipts."""
+    stored = F.collect_set(F.struct(*anchors)).alias("stored")
+    rows = _roots_of(by_block(receipts, stored).select("block_number", "block_hash", "encoded", "stored"))
+    return rows.withColumn("stored", F.explode("stored")).select("block_number", "block_hash", "receipts_root", "n_receipts", "stored.*")
 
 
 def roots_of_blocks(blocks: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -60,26 +84,29 @@ def proofs(receipts: DataFrame) -> DataFrame:
     """The inclusion proof of every receipt: encoded nodes from the root to the leaf."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.schema([("block_number", pa.int64()), ("block_hash", pa.string()), ("tx_hash", pa.string()), ("tx_index", pa.int32()), ("receipt_index", pa.int32()), ("receipt_rlp", pa.binary()), ("receipts_root", pa.string()), ("nodes", pa.list_(pa.binary()))])
-        for b in batches:
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.list_(pa.binary())]
+        for b in _slices(batches, BLOCKS):
             rows = b.to_pylist()
-            for row, t in zip(rows, trie.tries([r["encoded"] for r in rows])):
-                head = {"block_number": row["block_number"], "block_hash": row["block_hash"], "receipts_root": _hex(t.hash)}
-                out = [head | {"tx_hash": h, "tx_index": x, "receipt_index": i, "receipt_rlp": e, "nodes": trie.proof(t, i)} for i, (e, h, x) in enumerate(zip(row["encoded"], row["tx_hashes"], row["tx_indexes"]))]
-                yield pa.RecordBatch.from_pylist(out, kinds)
+            out = [
+                (row["block_number"], row["block_hash"], h, x, i, e, root, trie.proof(t, i))
+                for row, t in zip(rows, trie.tries([r["encoded"] for r in rows]))
+                for root in [_hex(t.hash)]
+                for i, (e, h, x) in enumerate(zip(row["encoded"], row["tx_hashes"], row["tx_indexes"]))
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [x.split()[0] for x in PROOFS.split(", ")])
 
     return by_block(receipts).mapInArrow(made, PROOFS)
 
 
 def verified(rows: DataFrame) -> DataFrame:
-    """``rows`` of ``proofs`` with whether each proof holds."""
+    """``rows`` of ``proofs`` with whether each proof holds. Nodes that proofs share are hashed and decoded once."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = b.to_pylist()
-            nodes = list({n for r in rows for n in r["nodes"]})
-            digests = dict(zip(nodes, keccak256_many(nodes)))
-            ok = [trie.verify(bytes.fromhex(r["receipts_root"][2:]), r["receipt_index"], r["receipt_rlp"], r["nodes"], digests.__getitem__) for r in rows]
+        for b in _slices(batches, ROWS):
+            roots, indexes, receipts, given = (b.column(c).to_pylist() for c in ("receipts_root", "receipt_index", "receipt_rlp", "nodes"))
+            nodes = list({n for ns in given for n in ns})
+            digests, decoded = dict(zip(nodes, keccak256_many(nodes))), lru_cache(maxsize=ROWS)(trie.decode)
+            ok = [trie.verify(bytes.fromhex(r[2:]), i, e, ns, digests.__getitem__, decoded) for r, i, e, ns in zip(roots, indexes, receipts, given)]
             yield b.append_column("verified", pa.array(ok, pa.bool_()))
 
     return rows.select(*(x.split()[0] for x in PROOFS.split(", "))).mapInArrow(made, PROOFS + ", verified boolean")

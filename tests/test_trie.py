@@ -103,3 +103,19 @@ def test_roots_equal_the_definition(n, size):
     """Short receipts are embedded in their parents, longer ones are named by hash."""
     receipts = [bytes([i % 251]) * (1 + (size + i) % size) + bytes([i // 251]) for i in range(n)]
     assert trie.root_hash(receipts) == plain_root(receipts)
+
+
+def test_few_blocks_are_worked_on_together():
+    import pyarrow as pa
+
+    from forkwise.operators import proofs
+
+    batch = pa.RecordBatch.from_pydict({"n": list(range(10_000))})
+    cut = list(proofs._slices(iter([batch]), proofs.BLOCKS))
+    assert max(b.num_rows for b in cut) == proofs.BLOCKS
+    assert [n for b in cut for n in b.column("n").to_pylist()] == list(range(10_000))
+
+
+def test_a_shape_serves_all_blocks_of_its_size():
+    a, b = trie.tries([[b"a" * 40] * 20, [b"b" * 300] * 20])
+    assert a.shape is b.shape and a.hash != b.hash
