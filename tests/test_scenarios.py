@@ -236,3 +236,15 @@ def test_a_task_gets_no_more_of_a_longer_chain(spark):
     index = compaction.slot_index(rows, blocks, few + 3)
     assert sorted(index.collect()) == sorted(rows.collect())
     assert f", {few + 3})" in index._jdf.queryExecution().toString()
+
+
+def test_wrong_roots_reads_the_receipts_once_and_sees_missing_anchors(spark):
+    from forkwise.functions import trie
+    from forkwise.operators import invariants
+
+    right = "0x" + trie.root_hash([b"r" * 40]).hex()
+    rows = [(n, f"h{n}", 0, "t", 0, bytearray(b"r" * 40), anchor) for n, anchor in enumerate([right, "0x00", None])]
+    receipts = spark.createDataFrame(rows, "block_number long, block_hash string, tx_index int, tx_hash string, receipt_index int, receipt_rlp binary, receipt_root_anchor string")
+    wrong = invariants.wrong_roots(receipts)
+    assert {r["block_hash"] for r in wrong.collect()} == {"h1", "h2"}
+    assert "Join" not in wrong._jdf.queryExecution().toString()
