@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import Settings
@@ -50,12 +51,13 @@ def store_of(spark: SparkSession, sf_dir: str) -> Store:
         root, heights = f"{_shared(spark)}/store-{uuid.uuid4().hex}", P.heights_of(spark, sf_dir)
         settings = settings_for(root, heights)
         store = ingest.store_of(spark, settings).create()
-        # Derived once; each batch reads its part.
-        P.payload_log(spark, sf_dir, heights).write.parquet(f"{root}/log")
-        log = spark.read.schema(schemas.CHAIN_LOG).parquet(f"{root}/log")
+        # Derived once; each batch reads its part, which is a folder of its own.
         ends = [3 * (heights // 10 * n // BATCHES) for n in range(1, BATCHES)]
-        for n, (after, upto) in enumerate(zip([-1, *ends], [*ends, None])):
-            ingest.apply_log(store, log.filter((F.col("seq") > after) & (F.lit(True) if upto is None else F.col("seq") <= upto)), n)
+        batch = sum(((F.col("seq") > end).cast("int") for end in ends), F.lit(0)).alias("batch")
+        P.payload_log(spark, sf_dir, heights).select("*", batch).write.partitionBy("batch").parquet(f"{root}/log")
+        log = spark.read.schema(T.StructType([*schemas.CHAIN_LOG, T.StructField("batch", T.IntegerType())])).parquet(f"{root}/log")
+        for n in range(BATCHES):
+            ingest.apply_log(store, log.filter(F.col("batch") == n).drop("batch"), n)
             ingest.compact_all(store, settings)
         Folder(spark, f"{root}/log").delete()
         _MADE[key] = store

@@ -16,6 +16,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
@@ -75,7 +76,7 @@ MOST = 8
 #: Tasks, and so files, that a bucket of a large batch is dealt to.
 SPREAD = 8
 #: Tables of a batch that are written at the same time, as most are short.
-AT_ONCE = 4
+AT_ONCE = 8
 
 
 def _observed(seen: Observation) -> dict[str, int]:
@@ -152,10 +153,13 @@ class Store:
         """Rows of several tables as one batch; one that is in already is passed over."""
         if self.committed().get(writer, -1) >= batch:
             return None
-        put = inheritable_thread_target(self.spark)(self.put)
+        return self.publish(self.at_once(*(partial(self.put, table, rows) for table, rows in tables.items())), committed={writer: batch})
+
+    def at_once(self, *writes: Callable[[], list[Part]]) -> list[Part]:
+        """The parts that these write, side by side."""
+        run = inheritable_thread_target(self.spark)(lambda write: write())
         with ThreadPoolExecutor(AT_ONCE) as pool:
-            parts = [p for own in pool.map(put, tables, tables.values()) for p in own]
-        return self.publish(parts, committed={writer: batch})
+            return [p for own in pool.map(run, writes) for p in own]
 
     def take_over(self, table: str, rows: DataFrame, batch: int) -> None:
         """Write rows of an old store, decoded leniently, as a batch that any later payload of the same keys replaces."""

@@ -17,6 +17,8 @@ rolled back since, and compacts ranges of heights up to the durable cursor.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,9 +69,8 @@ def resolve(store: Store, lines: DataFrame | None = None) -> None:
     store.append(RESOLVED, store.committed().get(RESOLVED, -1) + 1, resolutions=lines)
 
 
-def _known_before(store: Store, events: DataFrame) -> DataFrame:
+def _known_before(store: Store, events: DataFrame, touched: set[int]) -> DataFrame:
     """The last event of each block that these events name, from the status table's buckets of their heights."""
-    touched = {r["bucket"] for r in events.select(store.bucket_of(F.col("block_number"))).distinct().collect()}
     parts = [p for p in store.version().of("block_status") if p.bucket in touched]
     rows = store._rows("block_status", parts).join(events.select("block_hash").distinct(), "block_hash", "left_semi")
     last = fold.merged_status(rows)
@@ -77,40 +78,46 @@ def _known_before(store: Store, events: DataFrame) -> DataFrame:
 
 
 def _new_checkpoint(store: Store, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The stream's checkpoint after these events and the rollbacks among them."""
+    """The stream's checkpoint after these events and the rollbacks among them, which are kept as several tables need them."""
     point = store.read("stream_checkpoints")
     last = cursors.latest(point).select(cursors.seq_of(F.col("id")).alias("seq")).collect()[0]["seq"]
-    first = events.agg(F.min("seq").alias("seq")).collect()[0]["seq"]
-    if first is not None and first <= last:
+    here = events.agg(F.min("seq").alias("first"), F.collect_set(store.bucket_of(F.col("block_number"))).alias("buckets")).collect()[0]
+    if here["first"] is not None and here["first"] <= last:
         every = store.read("block_events").unionByName(events).dropDuplicates(["seq", "phase", "block_hash"])
-        bases = fold.rollback_bases(every)
+        bases = fold.rollback_bases(every).persist()
         return cursors.advanced(point.filter("false"), cursors.steps_of(every, bases)), bases
-    bases = fold.rollback_bases(_known_before(store, events).unionByName(events)).join(events.select("seq").distinct(), "seq", "left_semi")
+    known = _known_before(store, events, set(here["buckets"]))
+    bases = fold.rollback_bases(known.unionByName(events)).join(events.select("seq").distinct(), "seq", "left_semi").persist()
     return cursors.advanced(point, cursors.steps_of(events, bases)), bases
 
 
 def apply_log(store: Store, log: DataFrame, batch: int) -> None:
-    """Write what a piece of the log says as one batch; one that is in already is passed over."""
+    """Write what a piece of the log says as one batch; one that is in already is passed over.
+
+    The log is dealt by block once, and all tables of the batch are taken from there.
+    """
     if store.committed().get(INGEST, -1) >= batch:
         return
-    log = log.persist()
+    log = log.repartition("block_hash").persist()
+    kept = [log]
     try:
         rows, broken = readable(store, log)
         bad = unfit(rows, store.floor()).unionByName(broken)
         if not bad.isEmpty():
             store.append(QUARANTINE, store.committed().get(QUARANTINE, -1) + 1, quarantine=bad)
             raise Quarantined(", ".join(f"{r.reason}: {r.block_hash or r.block_number or r.file}" for r in bad.orderBy("block_number").limit(5).collect()))
-        events = fold.block_events(rows)
+        events = fold.block_events(rows).persist()
+        kept.append(events)
         new = extract.committed(rows)
-        seqs = new.select("block_hash", "seq")
-        changes = extract.changes_of(rows)
-        receipts = extract.receipt_artifacts(extract.receipts_of(rows))
+        changes = extract.changes_in(new, "seq")
+        receipts = extract.receipt_artifacts(extract.receipts_in(new, "seq"), "seq")
         point, bases = _new_checkpoint(store, events)
+        kept.append(bases)
         store.append(
             INGEST, batch,
-            account_diffs=extract.account_diffs(changes).join(seqs, "block_hash"),
-            storage_diffs=extract.storage_diffs(extract.slots_of(changes)).join(seqs, "block_hash"),
-            receipt_artifacts=proofs.anchored(receipts).join(seqs, "block_hash"),
+            receipt_artifacts=proofs.anchored(receipts),
+            account_diffs=extract.account_diffs(changes, "seq"),
+            storage_diffs=extract.storage_diffs(extract.slots_of(changes, "seq"), "seq"),
             block_events=events,
             block_status=fold.merged_status(fold.status_rows(events)),
             finished_heights=events.filter("event = 'active'").groupBy("seq").agg(F.max("block_number").alias("finished_height")),
@@ -119,7 +126,8 @@ def apply_log(store: Store, log: DataFrame, batch: int) -> None:
         )
         store.fold()
     finally:
-        log.unpersist()
+        for rows in kept:
+            rows.unpersist()
 
 
 def log_stream(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
@@ -143,16 +151,15 @@ def ingest(spark: SparkSession, folder: str, settings: Settings, checkpoint: str
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=settings.poll_interval)).start()
 
 
-def _pending_base(store: Store, point: DataFrame) -> int | None:
-    """The lowest base rolled back since the index side's checkpoint."""
-    seen = point.select(cursors.seq_of(F.col("id")).alias("seq")).collect()[0]["seq"]
+def _pending_base(store: Store, seen: int) -> int | None:
+    """The lowest base rolled back since the ``seq`` that the index side has seen."""
     return store.read("rollbacks").filter(F.col("seq") > seen).agg(F.min("base").alias("base")).collect()[0]["base"]
 
 
 def indexed_until(store: Store) -> int:
     """Up to which height the indexes hold what is canonical: not above what was rolled back and awaits the index side."""
-    point = cursors.latest(store.read("stage_checkpoints"))
-    top, base = point.collect()[0]["compacted_until"], _pending_base(store, point)
+    point = cursors.latest(store.read("stage_checkpoints")).collect()[0]
+    top, base = point["compacted_until"], _pending_base(store, point["id"] >> 32)
     return top if base is None else min(top, base)
 
 
@@ -177,27 +184,28 @@ def stage_step(store: Store, settings: Settings, requested: int | None = None, b
     now = store.pinned()
     batch = now.committed().get(STAGE, -1) + 1 if batch is None else batch
     before = cursors.latest(now.read("stage_checkpoints"))
-    seen = before.select(cursors.seq_of(F.col("id")).alias("seq")).collect()[0]["seq"]
-    base = _pending_base(now, before)
+    stood = before.collect()[0]
+    seen = stood["id"] >> 32
+    base = _pending_base(now, seen)
     point = before if base is None else compaction.unwind_cursors(before, base)
-    start = point.collect()[0]["compacted_until"]
+    start = stood["compacted_until"] if base is None else min(stood["compacted_until"], base)
     stream = cursors.latest(now.read("stream_checkpoints")).collect()[0]
     work = compaction.next_batch(start, stream["durable"], requested, settings.max_blocks_per_batch)
-    add, drop = [], []
+    writes, drop = [], []
     for table in INDEXES if base is not None else ():
         above = now.parts(table, low=start + 1)
         cut = [p for p in above if p.bucket == start // now.bucket]
-        add += store.rewritten(table, cut, lambda rows: compaction.unwound(rows, start)) if cut else []
+        writes += [partial(store.rewritten, table, cut, lambda rows: compaction.unwound(rows, start))] if cut else []
         drop += above
     low, high = work.start + 1, max(work.start + 1, work.end)
     blocks = now.canonical_blocks(low, high)
     if work.end > work.start:
         a, s = compaction.compact(now.physical("account_diffs", low, high), now.physical("storage_diffs", low, high), blocks, work)
-        add += store.put("address_block_index", a) + store.put("slot_block_index", s)
-        add += store.put("index_gaps", compaction.gap_heights(blocks, work).withColumn("found_at", F.lit(batch)))
+        gaps = compaction.gap_heights(blocks, work).withColumn("found_at", F.lit(batch))
+        writes += [partial(store.put, "address_block_index", a), partial(store.put, "slot_block_index", s), partial(store.put, "index_gaps", gaps)]
     top = max(seen, stream["id"] >> 32)
     after = compaction.advance(point, work.end).withColumn("id", F.lit((top << 32) + batch)).withColumns({c: F.lit(stream[c]) for c in ("streaming", "durable", "canonical_tip", "finished_height")})
-    store.publish(add + store.put("stage_checkpoints", after), drop, committed={STAGE: batch})
+    store.publish(store.at_once(*writes, partial(store.put, "stage_checkpoints", after)), drop, committed={STAGE: batch})
     store.fold(tables=(*INDEXES, "stage_checkpoints", "index_gaps"))
     return work
 

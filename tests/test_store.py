@@ -162,6 +162,16 @@ def test_steps_do_not_read_history(spark, tmp_path, monkeypatch):
     assert audit.check_all(store).filter("violations > 0").isEmpty()
 
 
+def test_a_batch_takes_its_tables_from_one_dealing(spark, tmp_path, monkeypatch):
+    """Rows keep their block's place in the log: no join brings it to them, and that of the roots is the only one."""
+    store, put, plans = ingest.store_of(spark, Settings(str(tmp_path / "s"))).create(), Store.put, {}
+    monkeypatch.setattr(Store, "put", lambda self, table, rows: (plans.update({table: rows._jdf.queryExecution().optimizedPlan().toString()}), put(self, table, rows))[1])
+    ingest.apply_log(store, frame(spark, [("commit", [], [plain(1), plain(2)]), ("commit", [], [plain(2)])]), 0)
+    assert [plans[t].count("Join") for t in ("account_diffs", "storage_diffs", "receipt_artifacts")] == [0, 0, 1]
+    for table in ("account_diffs", "receipt_artifacts"):
+        assert {(r.block_number, r.seq) for r in store.read(table).collect()} == {(1, 1), (2, 2)}
+
+
 def test_unwinding_removes_rows_at_once(spark, tmp_path, monkeypatch):
     settings = Settings(str(tmp_path / "s"), heights_per_bucket=4)
     store = ingest.store_of(spark, settings).create()
